@@ -113,7 +113,7 @@ def element_text(elements: Column, categories=tuple(C.ELEMENT_CATEGORIES)) -> Co
 
 # --- chunks by similarity of neighbouring sentences ---------------------------
 def sentence_split(text: Column) -> Column:
-    parts = F.split(text, r"(?Ud)(?<=[.!?])\s+|\n+")
+    parts = F.split(F.regexp_replace(text, r"(?U)([.!?])\s+", "$1\n"), r"\n+")
     return F.filter(F.transform(parts, strip), lambda s: s != "")
 
 
