@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from .text import let
 
 MESSAGES = "array<struct<role:string,content:string>>"
 NAMED_MESSAGES = "array<struct<role:string,name:string,content:string>>"
@@ -145,11 +146,12 @@ def render_chat(
     if "thinking" in fields:
         thinking_only = (last["role"] == "assistant") & ~has(last["content"]) & has(last["thinking"])
     last_user = F.array_max(F.transform(messages, lambda m, i: F.when(m["role"] == "user", i).otherwise(-1)))
+    flags = F.struct(size.alias("size"), open_content.alias("open"), thinking_only.alias("musing"), last_user.alias("user"))
     system = F.array_join(
         F.transform(F.filter(messages, lambda m: m["role"] == "system"), lambda m: text_of(m["content"])), "\n\n"
     )
 
-    def closing(is_open: Column, i: Column) -> Column:
+    def closing(is_open: Column, i: Column, size: Column) -> Column:
         stays_open = is_open & (i == size - 1) if close_earlier else is_open
         return F.when(stays_open, "").otherwise("<|end|>")
 
@@ -163,25 +165,25 @@ def render_chat(
             F.lit(" <|constrain|>json<|message|>"), c["arguments"], F.lit("<|call|>"),
         )
 
-    def assistant(m: Column, i: Column) -> Column:
+    def assistant(m: Column, i: Column, f: Column) -> Column:
         parts = []
         if "thinking" in fields:
             shown = F.concat(
-                F.lit("<|start|>assistant<|channel|>analysis<|message|>"), m["thinking"], closing(thinking_only, i)
+                F.lit("<|start|>assistant<|channel|>analysis<|message|>"), m["thinking"], closing(f["musing"], i, f["size"])
             )
-            parts.append(F.when(has(m["thinking"]) & (i > last_user), shown).otherwise(""))
+            parts.append(F.when(has(m["thinking"]) & (i > f["user"]), shown).otherwise(""))
         said = F.concat(
-            F.lit("<|start|>assistant<|channel|>final<|message|>"), m["content"], closing(open_content, i)
+            F.lit("<|start|>assistant<|channel|>final<|message|>"), m["content"], closing(f["open"], i, f["size"])
         )
         parts.append(F.when(has(m["content"]), said).otherwise(""))
         if "tool_calls" in fields:
             parts.append(text_of(F.array_join(F.transform(m["tool_calls"], call), "")))
         return F.concat(*parts)
 
-    def turn(m: Column, i: Column) -> Column:
+    def turn(m: Column, i: Column, f: Column) -> Column:
         shown = F.when(
             m["role"] == "user", F.concat(F.lit("<|start|>user<|message|>"), text_of(m["content"]), F.lit("<|end|>"))
-        ).when(m["role"] == "assistant", assistant(m, i))
+        ).when(m["role"] == "assistant", assistant(m, i, f))
         if "tool_name" in fields:
             name = F.concat(F.when(builtin(m["tool_name"]), "").otherwise("functions."), m["tool_name"])
             shown = shown.when(
@@ -198,7 +200,7 @@ def render_chat(
     return F.concat(
         _header(current_date, think),
         developer,
-        F.array_join(F.transform(messages, turn), ""),
+        let(flags, lambda f: F.array_join(F.transform(messages, lambda m, i: turn(m, i, f)), "")),
         F.when(open_content | thinking_only, "").otherwise("<|start|>assistant"),
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from .text import count_of, find_all, renumber, split_lines, step_count, strip, word_count
+from .text import count_of, find_all, let, renumber, split_lines, step_count, strip, word_count
 
 PAIRS = "array<struct<question:string,ans:string>>"
 
@@ -62,9 +62,15 @@ def split_add_remove(question: Column, answer: Column) -> Column:
             x.rlike(C.COMMON_SUFFIX_STEP).alias("common"),
         ),
     )
-    turn = F.array_position(F.transform(steps, lambda s: ~s["neutral"] & (s["add"] | s["rem"])), F.lit(True))
-    turn = F.when(turn == 0, F.size(steps) + 1).otherwise(turn) - 1
+    return let(steps, lambda s: let(_turning_point(s), lambda turn: _add_remove_pairs(question, answer, s, turn)))
 
+
+def _turning_point(steps: Column) -> Column:
+    at = F.array_position(F.transform(steps, lambda s: ~s["neutral"] & (s["add"] | s["rem"])), F.lit(True))
+    return F.when(at == 0, F.size(steps) + 1).otherwise(at) - 1
+
+
+def _add_remove_pairs(question: Column, answer: Column, steps: Column, turn: Column) -> Column:
     def pick(test):
         return F.filter(steps, test)
 
@@ -105,8 +111,15 @@ def step_candidates(source: Column) -> Column:
         find_all(source, C.STEP_CANDIDATE), lambda s: F.regexp_replace(strip(s), r"(?U)\s+", " ")
     )
     lines = F.filter(lines, lambda s: F.length(s) >= 10)
-    lowered = F.transform(lines, lambda s: F.lower(s))
-    return F.filter(lines, lambda s, i: F.array_position(lowered, F.lower(s)) == i + 1)
+    return let(
+        F.transform(lines, lambda s: F.struct(s.alias("line"), F.lower(s).alias("low"))),
+        lambda rows: let(
+            F.transform(rows, lambda r: r["low"]),
+            lambda low: F.transform(
+                F.filter(rows, lambda r, i: F.array_position(low, r["low"]) == i + 1), lambda r: r["line"]
+            ),
+        ),
+    )
 
 
 def source_steps(source: Column) -> Column:

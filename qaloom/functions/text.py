@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from .. import constants as C
 
 
+def let(value: Column, body) -> Column:
+    """Bind a value to a variable, so that a body which reads it many times computes it once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 # --- small regex helpers ------------------------------------------------------
 def sub(text: Column, pattern: str, replacement: str = "") -> Column:
     return F.regexp_replace(text, F.lit(pattern), F.lit(replacement))
@@ -110,15 +115,18 @@ def _expanded_line(line: Column) -> Column:
         F.transform(F.split(F.substring(line, colon + 1, F.length(line)), C.INLINE_BULLET_SPLIT), strip),
         lambda p: p != "",
     )
-    body = F.array_join(F.transform(parts, lambda p: F.concat(F.lit("   - "), p)), "\n")
-    return F.when(
-        (colon > 0) & line.rlike(C.INLINE_BULLET) & (F.size(parts) >= 2), F.concat(head, F.lit(":\n"), body)
-    ).otherwise(line)
+
+    def built(parts: Column) -> Column:
+        body = F.array_join(F.transform(parts, lambda p: F.concat(F.lit("   - "), p)), "\n")
+        return F.when(F.size(parts) >= 2, F.concat(head, F.lit(":\n"), body)).otherwise(line)
+
+    return F.when((colon > 0) & line.rlike(C.INLINE_BULLET), let(parts, built)).otherwise(line)
 
 
 def expand_inline_bullets(text: Column) -> Column:
     """``head: * a * b`` becomes a head line and one indented line per bullet."""
-    return F.array_join(F.transform(split_lines(text), _expanded_line), "\n")
+    expanded = F.array_join(F.transform(split_lines(text), _expanded_line), "\n")
+    return F.when(F.contains(text, F.lit("*")), expanded).otherwise(F.array_join(split_lines(text), "\n"))
 
 
 def number_bullets(text: Column) -> Column:
@@ -135,8 +143,8 @@ def number_bullets(text: Column) -> Column:
         )
 
     folded = F.aggregate(lines, start, step, lambda acc: F.array_join(acc["out"], "\n"))
-    wanted = F.exists(lines, lambda x: x.rlike(C.BULLET_LINE)) & ~F.exists(lines, lambda x: x.rlike(C.NUMBERED_LINE))
-    return F.when(wanted, folded).otherwise(text)
+    wanted = text.rlike("(?m)" + C.BULLET_LINE.replace(r"\A", "^")) & ~F.exists(lines, lambda x: x.rlike(C.NUMBERED_LINE))
+    return F.when(wanted & F.exists(lines, lambda x: x.rlike(C.BULLET_LINE)), folded).otherwise(text)
 
 
 def step_count(text: Column) -> Column:
@@ -151,12 +159,12 @@ def renumber(text: Column) -> Column:
 
 
 def has_number_gap(text: Column) -> Column:
-    nums = F.transform(find_all(text, C.STEP_LINE, 1), lambda n: n.try_cast("decimal(38,0)"))
-    first = F.get(nums, F.lit(0))
-    bad = F.exists(
-        F.transform(nums, lambda n, i: F.coalesce(n - i != first, F.lit(True))), lambda wrong: wrong
-    )
-    return (F.size(nums) > 0) & bad
+    def gap(nums: Column) -> Column:
+        first = F.get(nums, F.lit(0))
+        wrong = F.transform(nums, lambda n, i: F.coalesce(n - i != first, F.lit(True)))
+        return F.array_contains(wrong, True)
+
+    return let(F.transform(find_all(text, C.STEP_LINE, 1), lambda n: n.try_cast("decimal(38,0)")), gap)
 
 
 # --- placeholder repair -------------------------------------------------------
@@ -184,8 +192,12 @@ def repair_placeholders(answer: Column, context: Column, labels=tuple(C.BUTTON_H
     def filled(hint: Column) -> Column:
         return F.regexp_replace(answer, F.lit(C.PLACEHOLDER), F.concat(F.lit("$1 "), hint))
 
-    tries = F.filter(F.transform(button_hints(context, labels), filled), lambda t: ~t.rlike(C.PLACEHOLDER))
-    return F.when(~answer.rlike(C.PLACEHOLDER), answer).otherwise(F.get(tries, F.lit(0)))
+    # only a hint that reads like a part of a placeholder can make a new one
+    def works(hint: Column) -> Column:
+        return ~F.lower(hint).isin("click", "press", "select", "button") | ~filled(hint).rlike(C.PLACEHOLDER)
+
+    hint = F.get(F.filter(button_hints(context, labels), works), F.lit(0))
+    return F.when(~answer.rlike(C.PLACEHOLDER), answer).otherwise(filled(hint))
 
 
 # --- prompts ------------------------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions.text import approx_tokens, clean_block, strip
+from ..functions.text import clean_block, let, strip
 from ..rules import Rules
 
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
@@ -76,7 +76,8 @@ def budget_chunks(body: Column, tokens: int = 1000) -> Column:
 
     def step(acc: Column, b: Column) -> Column:
         joined = F.concat_ws("\n", acc["open"]["text"], b["text"])
-        fits = (acc["open"]["headings"] == b["headings"]) & (approx_tokens(joined) <= tokens)
+        together = F.length(acc["open"]["text"]) + 1 + F.length(b["text"])
+        fits = (acc["open"]["headings"] == b["headings"]) & (together <= size)
         merged = F.struct(b["headings"].alias("headings"), joined.alias("text"))
         flushed = F.when(acc["open"].isNull(), acc["out"]).otherwise(F.array_append(acc["out"], acc["open"]))
         fits = F.coalesce(fits, F.lit(False))
@@ -128,7 +129,7 @@ def set_cosine(left: Column, right: Column) -> Column:
 
 
 def _similarity(a: Column, b: Column) -> Column:
-    return set_cosine(_word_set(a), _word_set(b))
+    return let(_word_set(a), lambda x: let(_word_set(b), lambda y: set_cosine(x, y)))
 
 
 def similarity_chunks(text: Column, rules: Rules = Rules()) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.qa import completion_score, parse_pairs
-from ..functions.text import approx_tokens, clip_tokens, format_prompt, strip
+from ..functions.text import approx_tokens, clip_tokens, format_prompt, let, strip
 from ..rules import Rules
 
 #: rows of one document that one window partition may hold
@@ -15,9 +15,12 @@ BLOCK_ROWS = 4096
 
 def chunk_lines(df: DataFrame, doc: str, text: str, lines: int) -> DataFrame:
     """Cut a text into chunks of ``lines`` lines. Stays inside the row, no shuffle."""
-    parts = F.split(F.col(text), "\n")
-    starts = F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / lines).cast("int"))
-    chunks = F.transform(starts, lambda i: F.array_join(F.slice(parts, i * lines + 1, F.lit(lines)), "\n"))
+
+    def cut(rows: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / lines).cast("int"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(rows, i * lines + 1, F.lit(lines)), "\n"))
+
+    chunks = let(F.split(F.col(text), "\n"), cut)
     return df.select(doc, F.posexplode(chunks).alias("chunk_idx", "text"))
 
 

@@ -39,3 +39,9 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     folder = new_folder(spark, name)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a small frame by a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -36,12 +36,12 @@ add(
 add(
     "rework_steps",
     f"WITH n AS (SELECT doc_id, '- ' || replace(text, {NL}, {NL} || '* ') AS b, "
-    f"'4. ' || replace(text, {NL}, {NL} || '9. ') || {NL} || 'end' AS n, 'Choose: * ' || replace(text, '. ', ' * ') AS i FROM documents) "
-    f"SELECT doc_id, {S.number_bullets('b')} AS bulleted, {S.renumber('n')} AS renumbered, {S.number_gap('n')} AS gap, {S.expand('i')} AS expanded FROM n",
+    f"'4. ' || replace(text, {NL}, {NL} || '9. ') || {NL} || 'end' AS num, 'Choose: * ' || replace(text, '. ', ' * ') AS i FROM documents) "
+    f"SELECT doc_id, {S.number_bullets('b')} AS bulleted, {S.renumber('num')} AS renumbered, {S.number_gap('num')} AS gap, {S.expand('i')} AS expanded FROM n",
 )
 add(
     "repair_placeholders",
-    f"WITH n AS (SELECT doc_id, text, upper(text) AS context, '1. Click . now' || {NL} || '2. ' || text || {NL} || '3. Press button' AS a FROM documents) "
+    f"WITH m AS (SELECT doc_id, regexp_replace(text, '[^\\x00-\\x7f]', 'z', 'g') AS text FROM documents), n AS (SELECT doc_id, text, upper(text) AS context, '1. Click . now' || {NL} || '2. ' || text || {NL} || '3. Press button' AS a FROM m) "
     f"SELECT doc_id, {S.repaired('a', 'text')} AS plain, md5({S.repaired('a', 'context')}) AS loud FROM n",
 )
 
@@ -72,10 +72,10 @@ add("pair_windows", f"WITH {window_rows(1100, 2)} SELECT doc_id, window_index, c
 prompt = "'Text one: ' || c1 || {0} || 'Text two: ' || c2 || {0} || 'End'".format(NL)
 add(
     "prompt_overflow",
-    f"WITH {window_rows(4000, 4)}, p AS (SELECT *, {prompt} AS full FROM win), "
-    f"o AS (SELECT *, {S.approx_tokens('full')} > 500 AS over FROM p) "
-    f"SELECT doc_id, window_index, md5(CASE WHEN over THEN 'Text one: ' || substr(c1, 1, 200) || {NL} || 'Text two: ' || {NL} || 'End' ELSE full END) AS prompt, "
-    f"CASE WHEN over THEN '' ELSE substr(c2, 1, 1200) END AS src_after, md5(substr(c3, 1, 1800)) AS src_next FROM o",
+    f"WITH {window_rows(4000, 4)}, p AS (SELECT *, {prompt} AS whole FROM win), "
+    f"o AS (SELECT *, {S.approx_tokens('whole')} > 500 AS too_long FROM p) "
+    f"SELECT doc_id, window_index, md5(CASE WHEN too_long THEN 'Text one: ' || substr(c1, 1, 200) || {NL} || 'Text two: ' || {NL} || 'End' ELSE whole END) AS prompt, "
+    f"CASE WHEN too_long THEN '' ELSE substr(c2, 1, 1200) END AS src_after, md5(substr(c3, 1, 1800)) AS src_next FROM o",
 )
 add(
     "merge_chunks",
@@ -94,14 +94,14 @@ def elements() -> str:
     return (
         f"flat AS (SELECT page_id, {flat} AS f FROM pages), "
         f"found AS (SELECT page_id, unnest({S.every('f', blocks.BLOCK, 1)}) AS tag, unnest({S.every('f', blocks.BLOCK, 2)}) AS t, "
-        f"unnest(range(len({S.every('f', blocks.BLOCK, 1)}))) AS at FROM flat), "
-        f"elements AS (SELECT page_id, at, lower(tag) AS tag, {clean} AS text FROM found WHERE {clean} <> '')"
+        f"unnest(range(len({S.every('f', blocks.BLOCK, 1)}))) AS place FROM flat), "
+        f"elements AS (SELECT page_id, place, lower(tag) AS tag, {clean} AS text FROM found WHERE {clean} <> '')"
     )
 
 
 def body() -> str:
-    over = "OVER (PARTITION BY page_id ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    places = ", ".join(f"max(CASE WHEN tag = 'h{i}' THEN at END) {over} AS p{i}" for i in range(1, 7))
+    over = "OVER (PARTITION BY page_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    places = ", ".join(f"max(CASE WHEN tag = 'h{i}' THEN place END) {over} AS p{i}" for i in range(1, 7))
     texts = ", ".join(f"last_value(CASE WHEN tag = 'h{i}' THEN text END IGNORE NULLS) {over} AS t{i}" for i in range(1, 7))
     valid = []
     for i in range(1, 7):
@@ -109,7 +109,7 @@ def body() -> str:
         valid.append(f"CASE WHEN p{i} IS NOT NULL{''.join(' AND ' + a for a in above)} THEN t{i} END")
     return (
         f"{elements()}, seen AS (SELECT *, {places}, {texts} FROM elements), "
-        f"body AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY at) - 1 AS pos, "
+        f"body AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY place) - 1 AS pos, "
         f"concat_ws(' > ', {', '.join(valid)}) AS headings, text FROM seen WHERE tag NOT LIKE 'h%')"
     )
 
@@ -128,7 +128,7 @@ add(
 )
 add(
     "element_text",
-    f"WITH {elements()}, j AS (SELECT page_id, coalesce(string_agg(text, {NL} ORDER BY at) FILTER (tag IN ('h1', 'p')), '') AS x FROM elements GROUP BY page_id) "
+    f"WITH {elements()}, j AS (SELECT page_id, coalesce(string_agg(text, {NL} ORDER BY place) FILTER (tag IN ('h1', 'p')), '') AS x FROM elements GROUP BY page_id) "
     f"SELECT p.page_id, coalesce({S.clean_block('x')}, '') AS text FROM pages p LEFT JOIN j USING (page_id)",
 )
 
@@ -260,7 +260,7 @@ add(
 )
 
 
-def walk(key: str, parents: bool = False) -> str:
+def walk(key: str, parents: bool = False, name: str = "") -> str:
     """Sequential first-wins over ``nodes(ord, e, s, p)``, whose lists name the earlier rivals by test."""
     parent = ", parent" if parents else ""
     gate = "n.parent IS NOT NULL AND NOT list_contains(w.acc, n.parent) OR " if parents else ""
@@ -272,7 +272,8 @@ def walk(key: str, parents: bool = False) -> str:
         f"THEN w.acc ELSE list_append(w.acc, n.ord) END FROM walk w JOIN num n ON n.rn = w.rn + 1), "
         f"last AS (SELECT arg_max(acc, rn) AS acc FROM walk), "
         f"told AS (SELECT ord{parent}, acc, CASE WHEN list_contains(acc, ord) THEN 'accepted' WHEN list_has_any(e, acc) THEN 'q_text_exact_dup' "
-        f"WHEN list_has_any(s, acc) THEN 'q_text_sem_dup' ELSE 'pair_sem_dup' END AS status FROM num, last) SELECT ord AS {key}, {own} FROM told{alive}"
+        f"WHEN list_has_any(s, acc) THEN 'q_text_sem_dup' ELSE 'pair_sem_dup' END AS status FROM num, last)"
+        + (f", {name} AS (SELECT ord AS {key}, {own} FROM told{alive})" if name else f" SELECT ord AS {key}, {own} FROM told{alive}")
     )
 
 
@@ -505,7 +506,24 @@ FLOW = (
 )
 add(
     "dataset_drops",
-    f"WITH RECURSIVE {FLOW} final AS (WITH {walk('ord')}), "
+    f"WITH RECURSIVE {FLOW} {walk('ord', name='final')}, "
     "r AS (SELECT reason FROM judged WHERE reason IS NOT NULL UNION ALL SELECT status FROM final WHERE status <> 'accepted') "
     "SELECT reason AS drop_reason, count(*) AS count FROM r GROUP BY 1",
 )
+record_id = (
+    """'{"doc_path":"' || lpad((doc_id % 50)::VARCHAR, 3, '0') || '","window_index":' || doc_id // 50 || ',"match_idx":' || match_idx """
+    """|| ',"split_idx":' || split_idx || ',"para_idx":0}'"""
+)
+add(
+    "dataset_splits",
+    f"WITH RECURSIVE {FLOW} {walk('ord', name='final')}, "
+    f"rec AS (SELECT {record_id} AS id, {S.words('q')} AS qw, {S.words('a')} AS aw, {S.hit('lower(a)', C.ERROR_STATE)} AS err "
+    "FROM numbered JOIN final USING (ord) WHERE status = 'accepted'), "
+    "c AS (SELECT count(*) AS total, count(*) FILTER (err) AS m, greatest(count(*) FILTER (err), trunc(0.2::DOUBLE * count(*))::BIGINT) - count(*) FILTER (err) AS need FROM rec), "
+    "cand AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || id)) - 1 AS i FROM rec WHERE err), "
+    "draws AS (SELECT j % m AS i, j // m + 1 AS copy_no FROM (SELECT unnest(range(need)) AS j, m FROM c)), "
+    "grown AS (SELECT id || '::0' AS cid, qw, aw FROM rec UNION ALL "
+    "SELECT id || ':state=error_or_validation:' || copy_no, qw, aw FROM cand JOIN draws USING (i)), "
+    f"{cuts('grown', 'cid')} SELECT split, count(*) AS total, round(avg(qw), 6) AS avg_q_words, round(avg(aw), 6) AS avg_a_words "
+    "FROM grown JOIN dealt USING (cid) GROUP BY 1",
+)

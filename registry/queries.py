@@ -92,7 +92,7 @@ def rework_steps(spark, folder):
 @query
 def repair_placeholders(spark, folder):
     """Placeholders filled from labels seen in the text of the document."""
-    d = read_table(spark, folder, "documents").select("doc_id", F.upper("text").alias("context"), "text")
+    d = read_table(spark, folder, "documents").select("doc_id", F.upper(F.regexp_replace("text", "[^\\x00-\\x7f]", "z")).alias("context"), F.regexp_replace("text", "[^\\x00-\\x7f]", "z").alias("text"))
     answer = F.concat(F.lit("1. Click . now\n2. "), F.col("text"), F.lit("\n3. Press button"))
     return d.select(
         "doc_id",
@@ -555,7 +555,7 @@ def saved_completions(spark, folder):
 
 @query
 def saved_trials(spark, folder):
-    path = new_folder(spark, "trials") + ".json"
+    path = new_folder(spark, "trials") + ".jsonl"
     done = _trials(spark, folder).filter("value < 1e300")
     files.save_trials(done, path)
     back = files.load_trials(spark, path)

@@ -127,9 +127,9 @@ def repaired(a: str, context: str) -> str:
     title = f"array_to_string(list_transform({runs}, lambda r: r[1] || lower(r[2:])), '')"
     upper = f"list_transform({every(context, C.UPPER_TOKEN)}, lambda t: {title})"
     hints = f"list_concat(list_filter([{known}], lambda h: h IS NOT NULL), {upper})"
-    filled = f"list_transform({hints}, lambda h: regexp_replace({a}, {re2(C.PLACEHOLDER)}, '\\1 ' || h, 'g'))"
-    good = f"list_filter({filled}, lambda f: NOT {hit('f', C.PLACEHOLDER)})"
-    return f"CASE WHEN NOT {hit(a, C.PLACEHOLDER)} THEN {a} ELSE {good}[1] END"
+    filled = f"regexp_replace({a}, {re2(C.PLACEHOLDER)}, '\\1 ' || h, 'g')"
+    good = f"list_filter({hints}, lambda h: CASE WHEN lower(h) IN ('click', 'press', 'select', 'button') THEN NOT {hit(filled, C.PLACEHOLDER)} ELSE true END)"
+    return f"CASE WHEN NOT {hit(a, C.PLACEHOLDER)} THEN {a} ELSE regexp_replace({a}, {re2(C.PLACEHOLDER)}, '\\1 ' || {good}[1], 'g') END"
 
 
 def steps(x: str) -> str:
