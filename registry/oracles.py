@@ -279,15 +279,19 @@ def walk(key: str, parents: bool = False, name: str = "") -> str:
 
 def rivals(q: str, p: str, tq: str, tp: str) -> str:
     """Nodes with their earlier rivals, from ``base(ord, ...)`` with an exact key and two word sets."""
+    def sized(x: str, t: str) -> str:
+        return f"least(u{x}, v{x}) >= greatest(u{x}, v{x}) * {t} * {t} - 0.001 AND u{x} > 0 AND v{x} > 0"
+
     def close(x: str, t: str) -> str:
-        return (
-            f"len(a.{x}) > 0 AND len(b.{x}) > 0 AND least(len(a.{x}), len(b.{x})) >= greatest(len(a.{x}), len(b.{x})) * {t} * {t} - 0.001 "
-            f"AND len(list_intersect(a.{x}, b.{x})) >= sqrt((len(a.{x}) * len(b.{x}))::DOUBLE) * {t}::DOUBLE"
-        )
+        return f"CASE WHEN {sized(x, t)} THEN len(list_intersect(a.{x}, b.{x})) >= sqrt((u{x} * v{x})::DOUBLE) * {t}::DOUBLE ELSE false END"
 
+    sizes = f"len({q}) AS n{q}, len({p}) AS n{p}"
+    hashed = ", ".join(f"list_transform({x}, lambda w: hash(w)) AS {x}" for x in (q, p))
     return (
-        f"rel AS (SELECT a.ord AS u, b.ord AS v, a.k = b.k AS e, coalesce({close(q, tq)}, false) AS s, coalesce({close(p, tp)}, false) AS p "
-        f"FROM base a JOIN base b ON b.ord < a.ord), "
+        f"sets AS MATERIALIZED (SELECT ord, k, {hashed}, {sizes} FROM base), "
+        f"near AS MATERIALIZED (SELECT a.ord AS u, b.ord AS v, a.k = b.k AS e, a.n{q} AS u{q}, b.n{q} AS v{q}, a.n{p} AS u{p}, b.n{p} AS v{p} FROM sets a JOIN sets b ON b.ord < a.ord "
+        f"WHERE a.k = b.k OR least(a.n{q}, b.n{q}) >= greatest(a.n{q}, b.n{q}) * {tq} * {tq} - 0.001 OR least(a.n{p}, b.n{p}) >= greatest(a.n{p}, b.n{p}) * {tp} * {tp} - 0.001), "
+        f"rel AS (SELECT u, v, e, {close(q, tq)} AS s, {close(p, tp)} AS p FROM near JOIN sets a ON a.ord = u JOIN sets b ON b.ord = v), "
         "hits AS (SELECT u, list(v) FILTER (e) AS e, list(v) FILTER (s) AS s, list(v) FILTER (p) AS p FROM rel WHERE e OR s OR p GROUP BY u)"
     )
 
@@ -316,6 +320,24 @@ add(
 )
 
 
+letters = ", ".join(f"(length(x) - length(replace(x, '{c}', '')))::DOUBLE" for c in "abcdefghijklmnopqrstuvwxyz")
+exchange_rows = (
+    "ex AS (SELECT row_number() OVER (ORDER BY u.conv_id, u.turn) AS ord, u.text AS q, a.text AS a FROM conversations u "
+    "JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant' WHERE u.role = 'user')"
+)
+add(
+    "embedder_dedup",
+    f"WITH RECURSIVE {exchange_rows}, kq AS (SELECT ord, {S.question_key('q')} AS x FROM ex), kp AS (SELECT ord, lower(q || ' || ' || a) AS x FROM ex), "
+    f"vq AS (SELECT ord, x, [{letters}] AS v FROM kq), vp AS (SELECT ord, [{letters}] AS v FROM kp), "
+    "rel AS (SELECT a.ord AS u, b.ord AS v, a.x = b.x AS e, list_cosine_similarity(a.v, b.v) >= 0.995 AS s, list_cosine_similarity(c.v, d.v) >= 0.9985 AS p "
+    "FROM vq a JOIN vq b ON b.ord < a.ord JOIN vp c ON c.ord = a.ord JOIN vp d ON d.ord = b.ord), "
+    "hits AS (SELECT u, list(v) FILTER (e) AS e, list(v) FILTER (s) AS s, list(v) FILTER (p) AS p FROM rel WHERE e OR s OR p GROUP BY u), "
+    f"nodes AS (SELECT b.ord, {lists} FROM ex b LEFT JOIN hits h ON h.u = b.ord), {walk('ord', name='final')} "
+    "SELECT conv_id, turn, status FROM final JOIN (SELECT row_number() OVER (ORDER BY u.conv_id, u.turn) AS ord, u.conv_id, u.turn FROM conversations u "
+    "JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant' WHERE u.role = 'user') USING (ord)",
+)
+
+
 # --- sampling -----------------------------------------------------------------
 def grown(ratio: str) -> str:
     return (
@@ -396,6 +418,13 @@ add(
     f"WITH {ROWS}, c AS (SELECT conv_id, turn, count(*) AS turns, max(CASE WHEN role = 'user' THEN content END) AS q FROM msgs GROUP BY ALL) "
     "SELECT 'flat' AS form, 2::BIGINT AS turns, question AS user FROM ex WHERE answer IS NOT NULL UNION ALL SELECT 'legacy', turns, q FROM c UNION ALL SELECT 'current', turns, q FROM c",
 )
+add(
+    "training_records",
+    f"WITH {S.judged()} SELECT lpad((doc_id % 50)::VARCHAR, 3, '0') AS doc_path, doc_id // 50 AS window_index, match_idx, split_idx, doc_id // 50 + 1 AS pair_end, "
+    f"{S.first_rule('lower(a)', C.ANSWER_INTENTS, C.DEFAULT_INTENT)} AS intent, "
+    f"CASE WHEN {S.hit('lower(a)', C.ERROR_STATE)} THEN 'error_or_validation' ELSE 'happy_path' END AS state, "
+    f"{S.first_rule('lower(a)', C.UI_AREAS, C.DEFAULT_UI_AREA)} AS ui_area, {lit(C.SYSTEM_TEXT)} AS system, q AS user, a AS assistant FROM judged WHERE reason IS NULL",
+)
 add("sharegpt", f"WITH {ROWS} SELECT conv_id, turn, pos, role, content FROM msgs")
 add("jsonl_roundtrip", ORACLES["sharegpt"])
 
@@ -495,6 +524,10 @@ add(
     "saved_completions",
     f"WITH {S.completions()} SELECT 'part' || doc_id % 5 || '.v1' AS doc_stem, doc_id AS window_index, md5(raw_text) AS raw FROM filled",
 )
+add(
+    "generate_completions",
+    f"SELECT doc_id, unnest([0, 1])::BIGINT AS cand_idx, md5('Q: What is it?' || {NL} || 'A: ' || text) AS raw FROM documents WHERE n_chars % 7 <> 0",
+)
 add("saved_trials", f"WITH {TRIALS} SELECT number, value, ep AS epochs FROM trials WHERE done AND value < 1e300")
 
 # --- the whole flow -----------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -330,6 +331,21 @@ def dense_dedup(spark, folder):
     return dedup.first_wins(e, "vec_id", key, key, [test])
 
 
+def _letters(texts: pd.Series) -> pd.Series:
+    """A stand-in for a sentence embedder: counts of the letters a to z."""
+    return texts.map(lambda x: [float(x.count(c)) for c in "abcdefghijklmnopqrstuvwxyz"])
+
+
+@query
+def embedder_dedup(spark, folder):
+    """First-wins over exchanges with the vectors of a user-supplied embedder."""
+    e = feeds.exchanges(spark, folder).filter(F.col("answer").isNotNull())
+    e = e.withColumn("ord", F.struct("conv_id", "turn"))
+    rules = Rules(question_threshold=0.995, pair_threshold=0.9985)
+    d = dedup.dedup_pairs(e, "ord", "question", "answer", None, rules, _letters)
+    return d.select("ord.conv_id", "ord.turn", "status")
+
+
 # --- sampling -----------------------------------------------------------------
 @query
 def rebalance(spark, folder):
@@ -562,8 +578,26 @@ def saved_trials(spark, folder):
     return back.select(big("number").alias("number"), "value", F.try_element_at("params", F.lit("epochs")).alias("epochs"))
 
 
+def _reply(prompts: pd.Series) -> pd.Series:
+    """A stand-in for a language model; gives up on some prompts."""
+    return prompts.map(lambda p: None if len(p) % 7 == 0 else "Q: What is it?\nA: " + p)
+
+
+@query
+def generate_completions(spark, folder):
+    d = read_table(spark, folder, "documents").select("doc_id", "text")
+    made = files.generate(d, "text", _reply, 2)
+    return made.select("doc_id", big("cand_idx").alias("cand_idx"), F.md5("raw_text").alias("raw"))
+
+
+@query
+def scan_files(spark, folder):
+    """Files below the folder of the tables by name ending; their content is not read."""
+    return files.scan_documents(spark, folder, (".parquet",)).select(files.document_stem(F.col("doc_path")).alias("stem"), "length")
+
+
 # --- the whole flow -----------------------------------------------------------
-def _flow(spark, folder, split_by="row"):
+def _flow_input(spark, folder):
     src = feeds.completions(spark, folder).select(
         F.lpad((F.col("doc_id") % 50).cast("string"), 3, "0").alias("doc_path"),
         F.floor(F.col("doc_id") / 50).cast("int").alias("window_index"),
@@ -571,7 +605,24 @@ def _flow(spark, folder, split_by="row"):
     )
     windows_ = src.drop("raw_text").withColumn("chunk_pairing", F.array("window_index", F.col("window_index") + 1))
     answers = src.select("doc_path", "window_index", F.lit(0).alias("cand_idx"), "raw_text")
-    return dataset.build_dataset(windows_, answers, None, Rules(), None, split_by)
+    return windows_, answers
+
+
+def _flow(spark, folder):
+    return dataset.build_dataset(*_flow_input(spark, folder))
+
+
+@query
+def training_records(spark, folder):
+    """Records of all valid pairs: lineage, tags and messages."""
+    checked = dataset.validated_pairs(*_flow_input(spark, folder)).filter(F.col("drop_reason").isNull())
+    r = dataset.records(dataset.with_paraphrases(checked, None))
+    content = lambda i: F.get("messages", F.lit(i))["content"]
+    return r.select(
+        "meta.doc_path", big("meta.window_index").alias("window_index"), big("ord.match_idx").alias("match_idx"),
+        big("ord.split_idx").alias("split_idx"), big(F.get("meta.chunk_pairing", F.lit(1))).alias("pair_end"),
+        "meta.intent", "meta.state", "meta.ui_area", content(0).alias("system"), content(1).alias("user"), content(2).alias("assistant"),
+    )
 
 
 @query
