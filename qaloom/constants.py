@@ -18,6 +18,10 @@ NOTE_START = r"\Anote[:\-]"
 EMPTY_NUMBERED_LINE = r"(?Udm)^\s*\d+\.\s*[.\-:]?\s*$"
 TRAILING_DOTS = r"(?d)\.{2,}$"
 META_REMARK = r"(?Uid)(?:^|\n)\s*(note:)?\s*the extracted q&a pairs.*$"
+WHITE_SPACE = (
+    "\t\n\u000b\u000c\r\u001c\u001d\u001e\u001f \u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 LINE_BREAKS = "\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085  ]"
 
 # --- question / answer text ---------------------------------------------------

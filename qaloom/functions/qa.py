@@ -102,7 +102,7 @@ def _add_remove_pairs(question: Column, answer: Column, steps: Column, turn: Col
 # --- steps of a source --------------------------------------------------------
 def normalize_step(step: Column) -> Column:
     low = F.regexp_replace(F.lower(step), r"(?U)\A\s*\d+\.\s*", "")
-    return strip(F.regexp_replace(F.regexp_replace(low, "[^a-z0-9 ]+", " "), r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(low, "[^a-z0-9]+", " "))
 
 
 def step_candidates(source: Column) -> Column:

@@ -28,7 +28,7 @@ def count_of(text: Column, pattern: str) -> Column:
 
 def strip(text: Column) -> Column:
     """Trim any Unicode white space, not only the blanks that ``trim`` removes."""
-    return sub(text, r"(?U)\A\s+|\s+\z")
+    return F.btrim(text, F.lit(C.WHITE_SPACE))
 
 
 def split_lines(text: Column) -> Column:

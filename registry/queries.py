@@ -213,8 +213,9 @@ def coverage_jaccard(spark, folder):
     source = F.array_join(F.transform(rows, lambda x, i: F.when(i % 5 == 4, x).otherwise(F.concat(F.lit("Open "), x))), "\n")
     answer = F.array_join(F.transform(F.filter(rows, lambda x, i: i % 5 != 2), lambda x, i: F.concat((i + 1).cast("string"), F.lit(". Open "), x)), "\n")
     d = d.select("doc_id", source.alias("source"), answer.alias("answer"))
-    own = F.transform(qa.answer_steps(F.col("answer")), qa.normalize_step)
-    src = qa.source_steps(F.col("source"))
+    d = d.withColumn("own", F.transform(qa.answer_steps(F.col("answer")), qa.normalize_step))
+    d = d.withColumn("src", qa.source_steps(F.col("source")))
+    own, src = F.col("own"), F.col("src")
     return d.select(
         "doc_id", big(F.size(src)).alias("source_steps"), big(F.size(own)).alias("answer_steps"),
         v.jaccard(own, src).alias("jaccard"), v.covers_source(F.col("answer"), F.col("source"), 0.6).alias("covered"),
