@@ -62,13 +62,20 @@ def line_chunks(spark: SparkSession, folder: str, lines: int = 2) -> DataFrame:
 def exchanges(spark: SparkSession, folder: str) -> DataFrame:
     """User turns with the assistant turn after and the system turn before them.
 
-    The joins are on (conversation, turn), which stays even when one conversation is very long.
+    Every turn names the user turn it may belong to, and one grouping on (conversation, turn)
+    puts them together: one shuffle, at most three rows per group, even for a conversation
+    that holds a third of all turns.
     """
     turns = read_table(spark, folder, "conversations")
-    asked = turns.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("question"))
-    replied = turns.filter("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
-    before = turns.filter("role = 'system'").select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("system"))
-    return asked.join(replied, ["conv_id", "turn"], "left").join(before, ["conv_id", "turn"], "left")
+    role = F.col("role")
+    anchor = F.when(role == "assistant", F.col("turn") - 1).when(role == "system", F.col("turn") + 1).otherwise(F.col("turn"))
+    known = turns.filter(role.isin("user", "assistant", "system")).select("conv_id", anchor.alias("turn"), "role", "text")
+
+    def of(name: str, column: str):
+        return F.max(F.when(role == name, F.col("text"))).alias(column)
+
+    grouped = known.groupBy("conv_id", "turn").agg(of("user", "question"), of("assistant", "answer"), of("system", "system"))
+    return grouped.filter(F.col("question").isNotNull())
 
 
 def conversation_rows(spark: SparkSession, folder: str) -> DataFrame:
