@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qaloom.storage import materialize
 
-from . import mixing, sharding
+from . import mixing, sharding, topk
 from .columns import table, word_count
+from .packing import packed_pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,3 +40,16 @@ def op5_shards(spark, folder):
     return sharding.shuffle_to_shards(sized).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query
+def op9_packing(spark, folder):
+    return packed_pieces(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op2_topk(spark, folder):
+    e = table(spark, folder, "embeddings").filter(F.col("vec_id").isNotNull() & topk.usable(F.col("embedding")))
+    whole = F.transform("embedding", lambda x: F.floor(F.lit(64.0) * x.cast("double")).cast("bigint"))
+    rows = e.select(F.col("vec_id").cast("bigint").alias("vec_id"), whole.alias("vector"))
+    return topk.top_k(rows, rows.filter(F.col("vec_id") % 20 == 0), 20)
