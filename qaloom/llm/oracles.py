@@ -50,5 +50,70 @@ WITH v AS (
     SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""",
+    "op7_url_filter": r"""
+WITH parts AS (
+    SELECT page_id,
+        CASE WHEN url LIKE '%://%' THEN lower(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)) ELSE '' END AS host,
+        CASE WHEN url LIKE '%://%' THEN regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+    FROM pages
+), lab AS (
+    SELECT p.host, CAST(l.quality = 0 OR l.toxic = 1 AS INT) AS bad FROM labels l JOIN parts p ON p.page_id = l.doc_id
+), h AS (
+    SELECT host, count(*) AS n, sum(bad) AS bad, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS b
+    FROM lab WHERE bad IS NOT NULL GROUP BY host
+), h2 AS (
+    SELECT host, n, bad, regexp_matches(b, '^[0-9.]+$|^\[') AS num, b, string_split(b, '.') AS l FROM h
+), h3 AS (
+    SELECT host, n, bad, array_to_string(l[-2:], '.') IN ('ac.uk', 'co.in', 'co.jp', 'co.kr', 'co.nz', 'co.uk', 'co.za', 'com.ar', 'com.au', 'com.br', 'com.cn', 'com.mx', 'com.tr', 'org.uk') AS wide, num, b, l FROM h2
+), hosts AS (
+    SELECT host, n, bad, CASE WHEN num THEN b WHEN wide THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix,
+        CASE WHEN num THEN b WHEN wide THEN array_to_string(l[-3:], '.') ELSE array_to_string(l[-2:], '.') END AS domain FROM h3
+), s0 AS (
+    SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 0.5) / (sum(n) + 1.0) FROM hosts) AS m FROM hosts GROUP BY suffix
+), s1 AS (
+    SELECT sum(power(bad - n * m, 2) - n * m * (1 - m)) AS a, sum(n * (n - 1) * m * (1 - m)) AS c FROM s0
+), s2 AS (
+    SELECT round(1.0 / CASE WHEN c = 0 THEN 0.5 ELSE least(0.999, greatest(0.001, a / c)) END - 1, 6) AS k FROM s1
+), s AS (
+    SELECT suffix, (bad + k * m) / (n + k) AS m FROM s0, s2
+), d0 AS (
+    SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad, any_value(m) AS m FROM hosts JOIN s USING (suffix) GROUP BY suffix, domain
+), d1 AS (
+    SELECT sum(power(bad - n * m, 2) - n * m * (1 - m)) AS a, sum(n * (n - 1) * m * (1 - m)) AS c FROM d0
+), d2 AS (
+    SELECT round(1.0 / CASE WHEN c = 0 THEN 0.5 ELSE least(0.999, greatest(0.001, a / c)) END - 1, 6) AS k FROM d1
+), d AS (
+    SELECT suffix, domain, (bad + k * m) / (n + k) AS m FROM d0, d2
+), t0 AS (
+    SELECT host, n, bad, m FROM hosts JOIN d USING (suffix, domain)
+), t1 AS (
+    SELECT sum(power(bad - n * m, 2) - n * m * (1 - m)) AS a, sum(n * (n - 1) * m * (1 - m)) AS c FROM t0
+), t2 AS (
+    SELECT round(1.0 / CASE WHEN c = 0 THEN 0.5 ELSE least(0.999, greatest(0.001, a / c)) END - 1, 6) AS k FROM t1
+), t AS (
+    SELECT host, n, k, (bad + k * m) / (n + k) AS m FROM t0, t2
+), blocked AS (
+    SELECT host FROM t WHERE m - 1.645 * sqrt(m * (1 - m) / (n + k + 1)) > 0.5
+), fit AS (
+    SELECT page_id, host, path, CASE
+        WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+        WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+        WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+        WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule FROM parts
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END AS verdict
+FROM fit
+""",
+    "op8_warc": """
+WITH p AS (
+    SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+    SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
 """,
 }

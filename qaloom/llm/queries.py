@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from qaloom.storage import materialize
 
-from . import mixing, sharding, topk
+from . import mixing, reputation, sharding, topk, warc
 from .columns import table, word_count
 from .packing import packed_pieces
 
@@ -53,3 +53,17 @@ def op2_topk(spark, folder):
     whole = F.transform("embedding", lambda x: F.floor(F.lit(64.0) * x.cast("double")).cast("bigint"))
     rows = e.select(F.col("vec_id").cast("bigint").alias("vec_id"), whole.alias("vector"))
     return topk.top_k(rows, rows.filter(F.col("vec_id") % 20 == 0), 20)
+
+
+@query
+def op7_url_filter(spark, folder):
+    """A page counts as bad if the document of its number is labelled as of low quality or toxic."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    labels = table(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("bigint").alias("bad"))
+    return reputation.judge(pages, labels).drop("url")
+
+
+@query
+def op8_warc(spark, folder):
+    packages, place = warc.archive(table(spark, folder, "pages"))
+    return warc.read_packages(packages, place, payloads=False).drop("url", "payload")
