@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from qaloom.storage import materialize
 
-from . import mixing, reputation, sharding, topk, warc
+from . import mixing, neardup, quality, reputation, sharding, topk, warc
 from .columns import table, word_count
 from .packing import packed_pieces
 
@@ -67,3 +67,15 @@ def op7_url_filter(spark, folder):
 def op8_warc(spark, folder):
     packages, place = warc.archive(table(spark, folder, "pages"))
     return warc.read_packages(packages, place, payloads=False).drop("url", "payload")
+
+
+@query
+def op4_quality(spark, folder):
+    d = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(d, table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label")))
+    return quality.score(d, model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op3_minhash(spark, folder):
+    return neardup.near_duplicates(table(spark, folder, "documents"))
