@@ -1,4 +1,4 @@
-"""Near duplicates by bottom-k sketches: one hash function, inverted lists, sketch estimates, exact Jaccard.
+"""Near duplicates by bottom-k sketches: one hash function, inverted lists, union-sketch estimates, exact Jaccard.
 
 A document's sketch is its ``K`` smallest shingle hashes. Two documents at the threshold share about three quarters of
 the smallest ``K`` hashes of their union, and at least ``K`` minus ``SLACK`` fewer (five standard deviations) with all but
@@ -6,10 +6,9 @@ a chance of a millionth; a set of at most 48 shingles has no such chance, as its
 list even if each document is put only into the lists of its rarest values, and values of common passages are left to
 the few documents made of nothing else.
 
-Groups of many copies are never paired up. Equal sets are one node. In each list all members are first compared with a
-leader, and then with another; the components so far are contracted. Only then are all pairs of different components
-estimated from sketches, in blocks of a list, so what remains of a large group is its size times a few. Every link is
-confirmed on full sets.
+Equal sets are one node. Documents that lists join, directly or over others, are a family; a task gets a family, or a
+part of one, with each text once, counts by inverted lists what sketches and then whole sets share, and returns a
+forest of the links and never all pairs of a group.
 """
 
 from __future__ import annotations
@@ -25,10 +24,9 @@ from pyspark.sql import functions as F
 from qaloom.storage import materialize
 
 from . import hashing
-from .graph import components
+from .graph import components, forest
 
-K, SLACK, BLOCK = 64, 18, 256
-SIGN = np.uint64(1 << 63)
+K, SLACK, UNIT = 64, 18, 4096
 
 
 def _sketches(k: int, width: int):
@@ -56,96 +54,113 @@ def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"doc": pa.array(doc, pa.int64()), "value": pa.array(value[at : at + 200_000])})
 
 
-def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, k: int, percent: int) -> np.ndarray:
-    """Whether pairs of sketches (rows, padded by the largest number) may reach the threshold.
-
-    The smallest k values of the union are a sample of it, and those that both have are a sample of what both share. If
-    both sketches are whole sets, the answer is exact.
-    """
-    union = np.sort(np.concatenate([a, b], axis=1), axis=1)
-    twin = np.zeros(union.shape, bool)
-    twin[:, 1:] = union[:, 1:] == union[:, :-1]
-    real = union != np.uint64(0xFFFFFFFFFFFFFFFF)
-    rank = np.cumsum(~twin & real, axis=1)
-    whole = (n_a <= k) & (n_b <= k)
-    inside = real & (whole[:, None] | (rank <= k))
-    shared, total = (twin & inside).sum(axis=1), (~twin & inside).sum(axis=1)
-    margin = np.where(whole, 0, 5 * np.sqrt(total * percent / 100 * (1 - percent / 100)))
-    return 100 * shared >= percent * total - 100 * margin
-
-
-def _padded(sketches: list[bytes], k: int) -> np.ndarray:
-    out = np.full((len(sketches), k), 0xFFFFFFFFFFFFFFFF, np.uint64)
-    for i, s in enumerate(sketches):
-        out[i, : len(s) // 8] = np.frombuffer(s, np.uint64)
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """How many numbers each two of m sets share, by inverted lists: long lists by a product, short ones pair by pair."""
+    m = len(sets)
+    out = np.zeros((m, m), np.float32)
+    owner = np.repeat(np.arange(m), [len(x) for x in sets])
+    _, value, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[value] > 1
+    owner, value = owner[shared], value[shared]
+    order = np.argsort(value, kind="stable")
+    owner, count = owner[order], count[count > 1]
+    first = np.cumsum(count) - count
+    short = np.zeros(len(count), bool) if m * len(count) <= 1 << 22 else count <= 16
+    for c in np.unique(count[short]).tolist():
+        rows = owner[first[short & (count == c)][:, None] + np.arange(c)]
+        for p in range(c):
+            for q in range(p + 1, c):
+                np.add.at(out, (rows[:, p], rows[:, q]), 1)
+                np.add.at(out, (rows[:, q], rows[:, p]), 1)
+    long_ = np.flatnonzero(~short)
+    for at in range(0, len(long_), 4096):
+        part = long_[at : at + 4096]
+        table = np.zeros((m, len(part)), np.float32)
+        for column, x in enumerate(part.tolist()):
+            table[owner[first[x] : first[x] + count[x]], column] = 1
+        out += table @ table.T
     return out
 
 
-def _filtered(k: int, percent: int):
-    """Pairs whose sketches allow the threshold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (_padded(batch.column(c).to_pylist(), k) for c in ("sketch_a", "sketch_b"))
-            n = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
-            keep = pa.array(estimate(a, b, *n, k, percent))
-            yield batch.select(["a", "b"]).filter(keep)
-
-    return run
-
-
-def _crossed(k: int, percent: int):
-    """Pairs of different components in a block of a list that sizes and sketches allow; rows come sorted by block."""
-
-    def pairs(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-        left = [i for i, r in enumerate(rows) if r["side"] != 1]
-        right = [i for i, r in enumerate(rows) if r["side"] != 0]
-        n = np.array([r["n"] for r in rows])
-        comp, doc = np.array([r["comp"] for r in rows]), np.array([r["doc"] for r in rows])
-        sketch = _padded([r["sketch"] for r in rows], k)
-        i, j = (x.ravel() for x in np.meshgrid(left, right, indexing="ij"))
-        same = np.array([r["side"] == 2 for r in rows])
-        fits = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (~(same[i] & same[j]) | (i < j))
-        i, j = i[fits], j[fits]
-        good = np.concatenate([np.zeros(0, bool), *(estimate(sketch[i[s : s + 4096]], sketch[j[s : s + 4096]], n[i[s : s + 4096]], n[j[s : s + 4096]], k, percent) for s in range(0, len(i), 4096))])
-        x, y = doc[i[good]], doc[j[good]]
-        return np.minimum(x, y), np.maximum(x, y)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
-
-        def emit():
-            a, b = pairs(rows)
-            return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-        for batch in batches:
-            for r in batch.to_pylist():
-                if (r["value"], r["i"], r["j"]) != key:
-                    if len(rows) > 1:
-                        yield emit()
-                    key, rows = (r["value"], r["i"], r["j"]), []
-                rows.append(r)
-        if len(rows) > 1:
-            yield emit()
-
-    return run
-
+def linked(docs: np.ndarray, sets: list[np.ndarray], lists: list[np.ndarray], k: int, percent: int) -> tuple[list[int], list[int]]:
+    """Links of documents that share a list, as a forest. Sizes filter first, then sketches, then whole sets decide."""
+    m = len(docs)
+    n = np.array([len(x) for x in sets])
+    meet = np.zeros((m, m), bool)
+    owner, value = np.repeat(np.arange(m), [len(x) for x in lists]), np.concatenate(lists)
+    order = np.argsort(value, kind="stable")
+    for group in np.split(owner[order], np.flatnonzero(np.diff(value[order])) + 1):
+        if len(group) > 1:
+            meet[np.ix_(group, group)] = True
+    meet &= 100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n)
+    meet = np.triu(meet, 1)
+    if meet.any():
+        least = needed(np.minimum(n, k), k, percent)
+        meet &= overlaps([x[:k] for x in sets]) >= np.maximum(least[:, None], least)
+    if not meet.any():
+        return [], []
+    used = np.flatnonzero(meet.any(axis=0) | meet.any(axis=1))
+    meet, n = meet[np.ix_(used, used)], n[used]
+    both = overlaps([sets[x] for x in used])
+    meet &= 100 * both >= percent * (n[:, None] + n - both)
+    i, j = np.nonzero(meet)
+    return forest(docs[used[i]].tolist(), docs[used[j]].tolist())
+
+
+def needed(length: np.ndarray, k: int, percent: int) -> np.ndarray:
+    """Values that a sketch of a length shares with any sketch at the threshold, but for a chance of a millionth."""
+    whole = -(-length * percent // 100)
+    return np.maximum(1, whole - np.where(length > k * percent // 100, SLACK, 0))
+
+
+def _units(k: int, width: int, percent: int):
+    """Links of every unit; rows (x, i, j, doc, text, lists) come sorted by unit.
+
+    A unit with more documents than ``UNIT`` is done in parts: lists one after another, as many as their documents fit.
+    """
 
-def _confirmed(width: int, percent: int):
-    """Pairs whose full shingle sets reach the threshold."""
+    def parts(docs: np.ndarray, sets: list, lists: list) -> Iterator[pa.RecordBatch]:
+        if len(docs) <= UNIT:
+            todo = [(np.arange(len(docs)), lists)]
+        else:
+            owner, value = np.repeat(np.arange(len(docs)), [len(x) for x in lists]), np.concatenate(lists)
+            order = np.argsort(value, kind="stable")
+            groups = np.split(np.column_stack([owner, value])[order], np.flatnonzero(np.diff(value[order])) + 1)
+            todo, held, size = [], [], 0
+            for group in sorted(groups, key=lambda g: g[0, 0]) + [None]:
+                if group is None or (held and size + len(group) > UNIT):
+                    rows = np.concatenate(held)
+                    rows = rows[np.argsort(rows[:, 0], kind="stable")]
+                    who, at = np.unique(rows[:, 0], return_index=True)
+                    todo.append((who, np.split(rows[:, 1], at[1:])))
+                    held, size = [], 0
+                if group is not None:
+                    held.append(group)
+                    size += len(group)
+        for who, own in todo:
+            a, b = linked(docs[who], [sets[x] for x in who], own, k, percent)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, docs, sets, lists = None, [], [], []
         for batch in batches:
-            keep = []
-            for x, y in zip(hashing.shingle_sets(batch.column("text_a"), width), hashing.shingle_sets(batch.column("text_b"), width)):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both) and both > 0)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            unit = zip(*(batch.column(c).to_pylist() for c in ("x", "i", "j")))
+            rows = zip(unit, batch.column("doc").to_pylist(), batch.column("lists").to_pylist(), hashing.shingle_sets(batch.column("text"), width))
+            for unit, doc, values, s in rows:
+                if unit != key:
+                    if len(docs) > 1:
+                        yield from parts(np.array(docs), sets, lists)
+                    key, docs, sets, lists = unit, [], [], []
+                docs.append(doc)
+                sets.append(s)
+                lists.append(np.array(values, np.int64))
+        if len(docs) > 1:
+            yield from parts(np.array(docs), sets, lists)
 
     return run
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, k: int = K, rounds: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, k: int = K) -> DataFrame:
     """Documents (doc_id, text) to doc_id, n_shingles, component_id and kept.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lowered; a text of fewer words than ``width`` is one shingle. A null,
@@ -167,58 +182,32 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, k: int =
     common = materialize(values.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1"), "values")
     held = values.join(common, "value").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("held"))
     length = F.least(F.col("n"), F.lit(k)).cast("int")
-    need = F.ceil(length * percent / 100).cast("int")
-    need = F.greatest(F.lit(1), need - F.when(length > int(k * percent / 100), SLACK).otherwise(0))
-    sized = held.join(nodes.select(F.col("doc_id").alias("doc"), "n", "sketch"), "doc")
+    table = F.array(*[F.lit(int(x)) for x in needed(np.arange(k + 1), k, percent)])
+    need = F.element_at(table, length + 1)
+    sized = held.join(nodes.select(F.col("doc_id").alias("doc"), "n"), "doc")
     chosen = F.slice("held", F.lit(1), F.greatest(F.lit(0), length - need + 1 - (length - F.size("held"))))
-    members = materialize(sized.select("doc", "n", "sketch", F.transform(chosen, lambda x: x["value"]).alias("lists")).filter(F.size("lists") > 0), "members")
-    slim = members.select("doc", "n", F.explode("lists").alias("value"))
-    texts = docs.join(members.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi")
-    texts = materialize(texts.join(members.select(F.col("doc").alias("doc_id"), "n", "sketch"), "doc_id"), "texts")
-
-    def confirm(pairs: DataFrame) -> DataFrame:
-        a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-        b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-        return materialize(pairs.join(a, "a").join(b, "b").mapInArrow(_confirmed(width, percent), "a bigint, b bigint"), "confirmed")
+    members = materialize(sized.select("doc", F.transform(chosen, lambda x: x["value"]).alias("lists")).filter(F.size("lists") > 0), "members")
+    slim = materialize(members.select("doc", F.explode("lists").alias("value")), "lists")
+
+    # Units: lists of one family (documents joined by lists) together, so that a text travels once and not once a list;
+    # large families are cut by list, and lists above UNIT by blocks that meet each other.
+    size = materialize(slim.groupBy("value").agg(F.count("*").alias("rows"), F.min("doc").alias("least")).filter("rows > 1"), "sizes")
+    met = slim.join(size, "value")
+    family = components(met.filter(F.col("rows") <= UNIT).select(F.col("doc").alias("a"), F.col("least").alias("b")))
+    family = family.select(F.col("id").alias("doc"), F.col("component").alias("x"))
+    wide = materialize(family.groupBy("x").agg((F.floor(F.count("*") / UNIT) + 1).cast("int").alias("cuts")).filter("cuts > 1"), "wide")
+    near = met.filter(F.col("rows") <= UNIT).join(family, "doc", "left").withColumn("x", F.coalesce("x", "doc")).join(wide, "x", "left")
+    near = near.select("doc", "value", "x", F.pmod(F.xxhash64("value"), F.coalesce("cuts", F.lit(1))).cast("int").alias("i"), F.lit(-1).alias("j"))
+    blocks = F.ceil(2 * F.col("rows") / UNIT).cast("int")
+    far = met.filter(F.col("rows") > UNIT).withColumn("own", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
+    far = far.select("doc", "value", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    far = far.select("doc", "value", F.col("value").alias("x"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    units = materialize(near.union(far).groupBy("x", "i", "j", "doc").agg(F.collect_list("value").alias("lists")), "units")
+    texts = materialize(docs.join(members.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi"), "texts")
+    rows = units.join(texts.select(F.col("doc_id").alias("doc"), "text"), "doc").repartition("x", "i", "j").sortWithinPartitions("x", "i", "j")
+    found = materialize(rows.mapInArrow(_units(k, width, percent), "a bigint, b bigint"), "found")
 
     links = copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    found, tested, lists = None, None, slim.withColumn("comp", F.col("doc"))
-    for turn in range(rounds):
-        lists = materialize(lists, "lists")
-        lead = lists.groupBy("value").agg(
-            F.min(F.struct(F.xxhash64("doc", F.lit(turn)).alias("h"), F.col("doc").alias("lead"), F.col("n").alias("lead_n"), F.col("comp").alias("lead_comp"))).alias("x"),
-            F.min("comp").alias("c1"), F.max("comp").alias("c2"),
-        )
-        lead = materialize(lead.filter("c1 <> c2").select("value", "x.lead", "x.lead_n", "x.lead_comp"), "leads")
-        met = lists.join(lead, "value").filter("comp <> lead_comp").filter(100 * F.least("n", "lead_n") >= percent * F.greatest("n", "lead_n"))
-        met = met.select(F.least("doc", "lead").alias("a"), F.greatest("doc", "lead").alias("b")).distinct()
-        if tested is not None:
-            met = met.join(tested, ["a", "b"], "left_anti")
-        met = materialize(met, "met")
-        tested = met if tested is None else tested.union(met)
-        a = texts.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sketch_a"), F.col("n").alias("n_a")).distinct()
-        b = texts.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sketch_b"), F.col("n").alias("n_b")).distinct()
-        likely = materialize(met.join(a, "a").join(b, "b").mapInArrow(_filtered(k, percent), "a bigint, b bigint"), "likely")
-        got = confirm(likely)
-        found = got if found is None else found.union(got)
-        group = components(found)
-        comp = F.coalesce("component", F.col("doc"))
-        lists = lists.drop("comp").join(lead.select("value"), "value", "left_semi").join(group.withColumnRenamed("id", "doc"), "doc", "left").select("doc", "n", "value", comp.alias("comp"))
-
-    # What is still in different components: all pairs of a list, block by block.
-    lists = materialize(lists, "lists")
-    size = lists.groupBy("value").agg(F.count("*").alias("rows"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 <> c2")
-    size = materialize(size.select("value", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")), "sizes")
-    open_ = lists.join(size, "value").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    spread = open_.select("value", "doc", "n", "comp", "own", other).select(
-        "value", "doc", "n", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
-    )
-    heavy = spread.join(members.select("doc", "sketch"), "doc").repartition(F.col("value"), F.col("i"), F.col("j")).sortWithinPartitions("value", "i", "j")
-    rest = heavy.mapInArrow(_crossed(k, percent), "a bigint, b bigint").distinct().join(tested, ["a", "b"], "left_anti")
-    found = found.union(confirm(materialize(rest, "rest")))
-
     group = components(links.union(found))
     out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(group.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     comp = F.coalesce("component", "doc_id")
