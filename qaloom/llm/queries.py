@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from qaloom.storage import materialize
 
-from . import covertree, mixing, neardup, quality, reputation, sharding, topk, warc
+from . import covertree, mixing, neardup, quality, reputation, sharding, suffixes, topk, warc
 from .columns import table, word_count
 from .packing import packed_pieces
 
@@ -85,3 +85,8 @@ def op3_minhash(spark, folder):
 def op10_covertree(spark, folder):
     e = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
     return covertree.near_duplicates(e).select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
+@query
+def op6_suffixes(spark, folder):
+    return suffixes.remove_repeats(table(spark, folder, "documents")).drop("kept", "rest")
