@@ -98,7 +98,7 @@ def shingles(word: np.ndarray, width: int = 5) -> np.ndarray:
         return np.zeros(0, np.uint64)
     width = min(width, len(word))
     scale = powers(BASE, width)
-    total = np.full(len(word) - width + 1, np.uint64(width) * np.uint64(0xD6E8FEB86659FD93), np.uint64)
+    total = np.full(len(word) - width + 1, np.uint64(width * 0xD6E8FEB86659FD93 % (1 << 64)), np.uint64)
     for i in range(width):
         total += word[i : len(word) - width + 1 + i] * scale[i]
     return np.unique(mix(total))

@@ -28,7 +28,7 @@ from qaloom.storage import materialize
 
 from . import hashing
 
-WIDTH, GRAM, CHUNK, PART = 50, 24, 1 << 19, 1 << 23
+WIDTH, GRAM, CHUNK, BATCH, PART = 50, 24, 1 << 19, 1 << 22, 1 << 23
 LAST = np.iinfo(np.int64).max
 LOCAL = np.uint64(20)
 
@@ -38,6 +38,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, width: int, gram: int) -> tup
     """Groups of neighbouring windows with one anchor: first and last window start, gram (40 bits), document."""
     first, last, key, owner = [], [], [], []
     span = width - gram + 1
+    docs, ends = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets)), np.repeat(offsets[1:], np.diff(offsets))
     for at in range(0, max(0, len(data) - width + 1), CHUNK):
         part = data[at : at + CHUNK + width - 1]
         n = len(part) - width + 1
@@ -51,8 +52,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray, width: int, gram: int) -> tup
         back = np.minimum.accumulate(table[:, ::-1], axis=1)[:, ::-1].ravel()
         place = (np.minimum(back[:n], ahead[span - 1 : span - 1 + n]) & np.uint64((1 << 20) - 1)).astype(np.int64)
         start = np.arange(at, at + n)
-        doc = np.searchsorted(offsets, start, side="right") - 1
-        valid = start + width <= offsets[doc + 1]
+        doc = docs[at : at + n]
+        valid = start + width <= ends[at : at + n]
         start, doc, place = start[valid], doc[valid], place[valid]
         if not len(start):
             continue
@@ -82,6 +83,16 @@ def _codec() -> pa.Codec:
     return pa.Codec("zstd", 3)
 
 
+def _small(raw: bytes) -> bytes:
+    """Compressed, behind its length."""
+    return len(raw).to_bytes(8, "little") + (_codec().compress(raw, asbytes=True) if raw else b"")
+
+
+def _wide(raw: bytes, kind: type = np.uint8) -> np.ndarray:
+    size = int.from_bytes(raw[:8], "little")
+    return np.frombuffer(_codec().decompress(raw[8:], size, asbytes=True) if size else b"", kind)
+
+
 class Batch:
     """Documents of one batch: numbers (null last), bytes, and the groups of windows whose gram others have too."""
 
@@ -109,7 +120,7 @@ class Batch:
 
 
 def _pack(rest: T.DataType):
-    """Documents to batches of about ``CHUNK`` bytes, or one document; ``rest`` holds their other columns."""
+    """Documents to batches of about ``BATCH`` bytes, or one document; ``rest`` holds their other columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = TaskContext.get().partitionId() << 32
@@ -118,7 +129,7 @@ def _pack(rest: T.DataType):
             ids = np.array([LAST if x is None else x for x in batch.column(0).to_pylist()], np.int64)
             at = 0
             while at < batch.num_rows:
-                stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, side="right")) - 1)
+                stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BATCH, side="right")) - 1)
                 blob = data[offsets[at] : offsets[stop]].tobytes()
                 other = batch.column(2).slice(at, stop - at)
                 yield pa.RecordBatch.from_arrays(
@@ -140,10 +151,8 @@ def _grams(parts: int, width: int, gram: int):
         for batch in batches:
             for row in batch.to_pylist():
                 b = Batch(row, width, gram)
-                order = np.lexsort((b.doc, b.key))
-                key, doc = b.key[order], b.doc[order]
-                once = np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]) if len(key) else np.zeros(0, bool)
-                value, count = np.unique(key[once], return_counts=True)
+                both = np.unique((b.key << np.uint64(24)) | b.doc.astype(np.uint64))  # a batch has fewer than 2**24 documents
+                value, count = np.unique(both >> np.uint64(24), return_counts=True)
                 part = (value % np.uint64(parts)).astype(np.int64)
                 for p in np.unique(part).tolist():
                     yield pa.RecordBatch.from_pydict({
@@ -262,8 +271,8 @@ def _runs(parts: int, width: int, gram: int):
                     places = np.flatnonzero(part == p)
                     shared, lengths, rests = encode_run([order[x] for x in places.tolist()])
                     yield pa.RecordBatch.from_pydict({
-                        "part": pa.array([p], pa.int64()), "batch": pa.array([row["batch"]], pa.int64()), "shared": [shared.tobytes()], "lengths": [lengths.tobytes()],
-                        "rests": [rests], "places": [places.astype(np.int32).tobytes()], "docs": [least[places].tobytes()], "grams": [_five(grams[places])],
+                        "part": pa.array([p], pa.int64()), "batch": pa.array([row["batch"]], pa.int64()), "shared": [_small(shared.astype(np.int32).tobytes())], "lengths": [_small(lengths.tobytes())],
+                        "rests": [_small(rests)], "places": [_small(np.diff(places, prepend=0).astype(np.int32).tobytes())], "docs": [_small(least[places].tobytes())], "grams": [_five(grams[places])],
                     })
 
     return run
@@ -274,8 +283,8 @@ def _merged(width: int):
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("batch")
-        runs = [decode_run(np.frombuffer(a, np.int32), np.frombuffer(b, np.int32), c) for a, b, c in zip(part["shared"], part["lengths"], part["rests"])]
-        docs = [np.frombuffer(x, np.int64).tolist() for x in part["docs"]]
+        runs = [decode_run(_wide(a, np.int32), _wide(b, np.int32), _wide(c).tobytes()) for a, b, c in zip(part["shared"], part["lengths"], part["rests"])]
+        docs = [_wide(x, np.int64).tolist() for x in part["docs"]]
         grams = [_from_five(x).tolist() for x in part["grams"]]
         seen = [0] * len(runs)
         kind: list[list[int]] = [[] for _ in runs]  # which different suffix each of a run's is
@@ -308,11 +317,11 @@ def _merged(width: int):
                     windows[x] = found
         out = []
         for r, (batch, places) in enumerate(zip(part["batch"], part["places"])):
-            place = np.frombuffer(places, np.int32)
+            place = np.cumsum(_wide(places, np.int32))
             odd = [(p, x) for p, x in zip(place.tolist(), kind[r]) if x in windows]
             out.append((
-                batch, places, np.array([least[x] for x in kind[r]], np.int64).tobytes(), np.array([p for p, _ in odd], np.int32).tobytes(),
-                np.array([d for _, x in odd for d in windows[x]], np.int64).tobytes(),
+                batch, places, _small(np.array([least[x] for x in kind[r]], np.int64).tobytes()), _small(np.array([p for p, _ in odd], np.int32).tobytes()),
+                _small(np.array([d for _, x in odd for d in windows[x]], np.int64).tobytes()),
             ))
         return pd.DataFrame(out, columns=["batch", "places", "least", "odd", "odd_least"]).astype({"batch": "int64"})
 
@@ -331,9 +340,9 @@ def _cut(width: int, gram: int, rest: T.DataType, texts: bool):
                 least = np.full(len(order), LAST, np.int64)
                 odd: dict[int, np.ndarray] = {}
                 for a in row["answers"] or []:
-                    least[np.frombuffer(a["places"], np.int32)] = np.frombuffer(a["least"], np.int64)
-                    values, at = np.frombuffer(a["odd_least"], np.int64), 0
-                    for x in np.frombuffer(a["odd"], np.int32).tolist():
+                    least[np.cumsum(_wide(a["places"], np.int32))] = _wide(a["least"], np.int64)
+                    values, at = _wide(a["odd_least"], np.int64), 0
+                    for x in _wide(a["odd"], np.int32).tolist():
                         size = len(order[x]) - width + 1
                         odd[x] = values[at : at + size]
                         at += size
