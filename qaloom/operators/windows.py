@@ -115,13 +115,37 @@ def extract_pairs(completions: DataFrame, rules: Rules = Rules()) -> DataFrame:
     )
 
 
+def dense_positions(df: DataFrame, doc: str, idx: str) -> DataFrame:
+    """Renumber ``idx`` from 0 without gaps within a document; a null document is one of its own.
+
+    Only the counts per block of a document (one per ``BLOCK_ROWS`` positions) are summed over the
+    whole document; rows are numbered inside their block.
+    """
+    blocked = df.withColumn("_block", F.floor(F.col(idx) / BLOCK_ROWS).cast("bigint"))
+    over = Window.partitionBy(doc).orderBy("_block")
+    starts = blocked.groupBy(doc, "_block").agg(F.count("*").alias("_n")).select(
+        F.col(doc).alias("_doc"), F.col("_block").alias("_of"), (F.sum("_n").over(over) - F.col("_n")).alias("_start")
+    )
+    inside = F.row_number().over(Window.partitionBy(doc, "_block").orderBy(idx)) - 1
+    return (
+        blocked.withColumn("_in", inside)
+        .join(starts, F.col(doc).eqNullSafe(F.col("_doc")) & (F.col("_block") == F.col("_of")))
+        .withColumn(idx, (F.col("_start") + F.col("_in")).cast(df.schema[idx].dataType))
+        .drop("_block", "_in", "_doc", "_of", "_start")
+    )
+
+
 def merge_chunks(chunks: DataFrame, doc: str, count: int) -> DataFrame:
-    """Every ``count`` consecutive chunks as one, blank members skipped, empty results dropped."""
+    """Every ``count`` consecutive chunks as one, blank members skipped, empty results dropped.
+
+    The results are numbered anew as ``chunk_idx`` without gaps, as :func:`context_windows` takes them.
+    """
     text = strip(F.col("text"))
     kept = chunks.select(
-        doc, "chunk_idx", F.floor(F.col("chunk_idx") / count).cast("int").alias("merged_idx"), text.alias("text")
+        doc, "chunk_idx", F.floor(F.col("chunk_idx") / count).cast("int").alias("_merged"), text.alias("text")
     ).filter(F.col("text") != "")
     members = F.sort_array(F.collect_list(F.struct("chunk_idx", "text")))
-    return kept.groupBy(doc, "merged_idx").agg(
+    merged = kept.groupBy(doc, F.col("_merged").alias("merged")).agg(
         F.array_join(F.transform(members, lambda m: m["text"]), "\n\n").alias("text")
     )
+    return dense_positions(merged.select(doc, F.col("merged").alias("chunk_idx"), "text"), doc, "chunk_idx")

@@ -20,7 +20,7 @@ def template_table(spark: SparkSession) -> DataFrame:
 def _filled(docs: DataFrame, spark: SparkSession) -> DataFrame:
     """Documents joined with the template of ``tpl_id`` (a fixed table of 40 rows), fields filled in."""
     lines = F.filter(F.split("text", "\n"), lambda x: x != "")
-    phrase = F.array_join(F.slice(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0)), 1, 4), " ")
+    phrase = F.array_join(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0)), " ")
     parts = docs.select(
         "*",
         phrase.alias("_w"),

@@ -79,8 +79,18 @@ add(
 )
 add(
     "merge_chunks",
-    f"WITH {chunks(2)}, k AS (SELECT doc_id, chunk_idx, {S.strip('text')} AS text FROM chunks) "
-    f"SELECT doc_id, (chunk_idx // 3)::BIGINT AS merged_idx, string_agg(text, {NL} || {NL} ORDER BY chunk_idx) AS text FROM k WHERE text <> '' GROUP BY ALL",
+    f"WITH {chunks(2)}, k AS (SELECT doc_id, chunk_idx, {S.strip('text')} AS text FROM chunks), "
+    f"g AS (SELECT doc_id, (chunk_idx // 3)::BIGINT AS merged_idx, string_agg(text, {NL} || {NL} ORDER BY chunk_idx) AS text FROM k WHERE text <> '' GROUP BY ALL) "
+    "SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY merged_idx) - 1 AS chunk_idx, text FROM g",
+)
+add(
+    "merged_windows",
+    f"WITH {chunks(1)}, k AS (SELECT doc_id, chunk_idx, {S.strip('text')} AS text FROM chunks WHERE chunk_idx % 4 < 2), "
+    f"g AS (SELECT doc_id, chunk_idx // 2 AS m, string_agg(text, {NL} || {NL} ORDER BY chunk_idx) AS text FROM k WHERE text <> '' GROUP BY ALL), "
+    "n AS (SELECT doc_id, row_number() OVER w - 1 AS i, text, lead(text, 1) OVER w AS n1, lead(text, 2) OVER w AS n2 FROM g "
+    "WINDOW w AS (PARTITION BY doc_id ORDER BY m)), one AS (SELECT *, substr(text, 1, 8000) AS c1 FROM n) "
+    f"SELECT doc_id, i AS window_index, md5(c1) AS c1, md5(substr(coalesce(n1, text), 1, least(2000, 4000 - {S.approx_tokens('c1')}) * 4)) AS c2, "
+    "md5(coalesce(n2, '')) AS c3, i + CASE WHEN n1 IS NULL THEN 0 ELSE 1 END AS pair_end FROM one",
 )
 
 
@@ -221,7 +231,7 @@ add(
 def replies() -> str:
     found = S.every("lower(text)", "[a-z]{3,}")
     return (
-        f"w AS (SELECT doc_id, text, array_to_string({found}[1:3], ' ') AS w, array_to_string({found}[1:40], ' ') AS a FROM documents), "
+        f"w AS (SELECT doc_id, text, array_to_string({found}, ' ') AS w, array_to_string({found}, ' ') AS a FROM documents), "
         "replies AS (SELECT doc_id, w, a, CASE doc_id % 3 WHEN 0 THEN 'Q1: Steps to open the page of ' WHEN 1 THEN 'Q1: List all the pages of ' ELSE 'Q1: Why ' END "
         f"|| w || '?' || {NL} || 'q2. Describe in short how to reach ' || CASE WHEN doc_id % 2 = 0 THEN w ELSE '' END || {NL} || "
         f"'Q3: In which way can I open the page of ' || w || '? ' || {NL} || text AS raw_text FROM w), "
@@ -382,9 +392,11 @@ add(
 )
 add(
     "pack_sequences",
-    f"WITH t AS (SELECT md5('42:' || conv_id || ':' || turn) AS k, substr(text, 1, 800) AS x FROM conversations), "
-    f"n AS (SELECT *, {S.approx_tokens('x')} AS tok FROM t), r AS (SELECT *, (sum(tok) OVER (ORDER BY k) - tok)::BIGINT AS before FROM n) "
-    "SELECT before // 200 AS bin, count(*) AS rows, sum(tok)::BIGINT AS tokens, md5(string_agg(x, '' ORDER BY before)) AS text FROM r GROUP BY 1",
+    f"WITH t AS (SELECT md5('42:' || conv_id || ':' || turn) AS k, text AS x FROM conversations), "
+    f"n AS (SELECT *, {S.approx_tokens('x')} AS tok FROM t), r AS (SELECT *, (sum(tok) OVER (ORDER BY k) - tok)::BIGINT AS before FROM n), "
+    "p AS (SELECT *, unnest(range(before // 200, (before + tok - 1) // 200 + 1)) AS bin FROM r), "
+    "c AS (SELECT bin, x, before, greatest(before, bin * 200) AS f, least(before + tok, bin * 200 + 200) AS e FROM p) "
+    "SELECT bin, count(*) AS rows, sum(e - f)::BIGINT AS tokens, md5(string_agg(substr(x, (f - before) * 4 + 1, (e - f) * 4), '' ORDER BY f)) AS text FROM c GROUP BY 1",
 )
 
 # --- records ------------------------------------------------------------------
@@ -514,7 +526,7 @@ add(
 add(
     "converted_splits",
     f"WITH {CONVERTED}, ids AS (SELECT conv_id, turn, conv_id || ':' || turn AS id FROM ex), {cuts('ids', 'id')} "
-    "SELECT split, role, name, content FROM conv JOIN ids USING (conv_id, turn) JOIN dealt USING (id) WHERE split <> 'test'",
+    "SELECT split, role, name, content FROM conv JOIN ids USING (conv_id, turn) JOIN dealt USING (id)",
 )
 add(
     "saved_splits",
@@ -528,7 +540,7 @@ add(
     "generate_completions",
     f"SELECT doc_id, unnest([0, 1])::BIGINT AS cand_idx, md5('Q: What is it?' || {NL} || 'A: ' || text) AS raw FROM documents WHERE n_chars % 7 <> 0",
 )
-add("saved_trials", f"WITH {TRIALS} SELECT number, value, ep AS epochs FROM trials WHERE done AND value < 1e300")
+add("saved_trials", f"WITH {TRIALS} SELECT number, value, ep AS epochs FROM trials WHERE done")
 
 # --- the whole flow -----------------------------------------------------------
 FLOW = (

@@ -123,7 +123,23 @@ def prompt_overflow(spark, folder):
 @query
 def merge_chunks(spark, folder):
     merged = windows.merge_chunks(feeds.line_chunks(spark, folder), "doc_id", 3)
-    return merged.select("doc_id", big("merged_idx").alias("merged_idx"), "text")
+    return merged.select("doc_id", big("chunk_idx").alias("chunk_idx"), "text")
+
+
+def _with_blanks(spark, folder) -> DataFrame:
+    """One-line chunks where each with a number 2, 3, 6, 7, ... is blank, so that merged groups of two fall out."""
+    c = feeds.line_chunks(spark, folder, 1)
+    return c.withColumn("text", F.when(F.col("chunk_idx") % 4 >= 2, F.lit(" ")).otherwise(F.col("text")))
+
+
+@query
+def merged_windows(spark, folder):
+    """Merged chunks, some of them blank, straight into context windows."""
+    w = windows.context_windows(windows.merge_chunks(_with_blanks(spark, folder), "doc_id", 2), "doc_id", Rules(content_budget=4000))
+    return w.select(
+        "doc_id", big("window_index").alias("window_index"), F.md5("c1").alias("c1"), F.md5("c2").alias("c2"), F.md5("c3").alias("c3"),
+        big(F.get("chunk_pairing", F.lit(1))).alias("pair_end"),
+    )
 
 
 @query
@@ -238,13 +254,13 @@ def continuation(spark, folder):
 def _replies(spark, folder) -> DataFrame:
     """Paraphrase replies with the words of every document: doc_id, raw_text."""
     words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0))
-    w = F.array_join(F.slice(words, 1, 3), " ")
+    w = F.array_join(words, " ")
     text = F.concat(
         F.when(F.col("doc_id") % 3 == 0, "Q1: Steps to open the page of ").when(F.col("doc_id") % 3 == 1, "Q1: List all the pages of ").otherwise("Q1: Why "),
         w, F.lit("?\nq2. Describe in short how to reach "), F.when(F.col("doc_id") % 2 == 0, w).otherwise(""),
         F.lit("\nQ3: In which way can I open the page of "), w, F.lit("? \n"), F.col("text"),
     )
-    return read_table(spark, folder, "documents").select("doc_id", text.alias("raw_text"), w.alias("w"), F.array_join(F.slice(words, 1, 40), " ").alias("a"))
+    return read_table(spark, folder, "documents").select("doc_id", text.alias("raw_text"), w.alias("w"), w.alias("a"))
 
 
 @query
@@ -294,7 +310,7 @@ def new_questions(spark, folder):
 
 @query
 def greedy_dedup(spark, folder):
-    """First-wins over whole documents: same text, word sets at 0.92, then at 0.90 with the source."""
+    """First-wins over whole documents: same text, word sets at 0.92, then at 0.90 with source and language."""
     d = read_table(spark, folder, "documents")
     text = F.col("text")
     with_source = F.concat_ws(" ", "source", "lang", "text")
@@ -534,12 +550,12 @@ def jsonl_roundtrip(spark, folder):
 
 @query
 def converted_splits(spark, folder):
-    """Write the splits, convert each to the new form, read all of them back."""
+    """Write all splits, convert each to the new form, read all of them back."""
     src, out = new_folder(spark, "splits"), new_folder(spark, "converted")
     rows = sampling.assign_split(
         feeds.conversation_rows(spark, folder).withColumn("id", F.concat_ws(":", "conv_id", "turn")), F.col("id")
     )
-    for name in files.SPLITS[:2]:
+    for name in files.SPLITS:
         files.write_jsonl(rows.filter(F.col("split") == name).select("conversation"), f"{src}/{name}.jsonl")
     result = None
     for name in files.convert_splits(spark, src, out):
@@ -573,8 +589,7 @@ def saved_completions(spark, folder):
 @query
 def saved_trials(spark, folder):
     path = new_folder(spark, "trials") + ".jsonl"
-    done = _trials(spark, folder).filter("value < 1e300")
-    files.save_trials(done, path)
+    files.save_trials(_trials(spark, folder), path)
     back = files.load_trials(spark, path)
     return back.select(big("number").alias("number"), "value", F.try_element_at("params", F.lit("epochs")).alias("epochs"))
 

@@ -194,7 +194,7 @@ def filled(docs: str, keys: str) -> str:
     kept = f"list_filter({lines('text')}, lambda x: x <> '')"
     return (
         f"{template_values()}, parts AS (SELECT *, "
-        f"array_to_string({every('lower(text)', '[a-z]{3,}')}[1:4], ' ') AS w, "
+        f"array_to_string({every('lower(text)', '[a-z]{3,}')}, ' ') AS w, "
         f"{join(f'list_transform({kept}, lambda x, i: i || {lit('. Open ')} || x)')} AS s, "
         f"{join(f'list_transform({kept}, lambda x: {lit('Open ')} || x)')} AS l FROM ({docs})), "
         f"filled AS (SELECT {keys}, {', '.join(fill(c) for c in ('raw_text', 'c1', 'c2', 'c3'))} FROM parts JOIN tpl USING (tpl_id))"

@@ -1,6 +1,6 @@
 """Shapes of model completions, filled with the words and lines of every document.
 
-{W} a few words of the document, {T} its whole text, {S} all its lines as numbered steps,
+{W} all words of the document, {T} its whole text, {S} all its lines as numbered steps,
 {L} all its lines as plain step sentences. Columns: completion, c1, c2, c3.
 """
 

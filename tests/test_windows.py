@@ -54,9 +54,12 @@ def test_best_completion_takes_the_earliest_of_equals(spark):
 
 def test_merge_chunks(spark):
     df = spark.createDataFrame([("a", 0, " x "), ("a", 1, " "), ("a", 2, "y"), ("a", 3, ""), ("a", 4, "z")], "doc_path string, chunk_idx int, text string")
-    got = {r["merged_idx"]: r["text"] for r in windows.merge_chunks(df, "doc_path", 2).collect()}
+    got = {r["chunk_idx"]: r["text"] for r in windows.merge_chunks(df, "doc_path", 2).collect()}
     assert got == {0: "x", 1: "y", 2: "z"}
     assert windows.merge_chunks(df, "doc_path", 1).count() == 3
+    gaps = spark.createDataFrame([("a", i, "" if i in (2, 3, 6) else f"t{i}") for i in range(8)], "doc_path string, chunk_idx int, text string")
+    w = windows.context_windows(windows.merge_chunks(gaps, "doc_path", 2)).orderBy("window_index").collect()
+    assert [(r["window_index"], r["c1"], r["chunk_pairing"]) for r in w] == [(0, "t0\n\nt1", [0, 1]), (1, "t4\n\nt5", [1, 2]), (2, "t7", [2, 2])]
 
 
 def test_chunk_lines(spark):
