@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,33 +12,66 @@ from .. import constants as C
 from ..functions.text import clean_block, let, strip
 from ..rules import Rules
 
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-INLINE = r"(?i)</?(?:a|b|i|u|em|strong|span|code|small|sub|sup|font|mark|img)(?:\s[^>]*)?/?>"
+HIDDEN = r"(?is)<!--.*?-->|<!doctype[^>]*>|<head\b.*?</head\s*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 BREAK = r"(?i)<br\s*/?>"
-BLOCK = r"(?i)<(h[1-6]|p|li)(?:\s[^>]*)?>([^<]*)"
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+#: tags that begin a new piece of text; all other tags vanish without a trace
+BORDER = (
+    r"(?i)<(/?(?:h[1-6]|p|li|div|td|th|tr|table|caption|thead|tbody|tfoot|ul|ol|dl|dt|dd|pre|blockquote|section|article|"
+    r"header|footer|nav|main|aside|form|fieldset|legend|figure|figcaption|address|details|summary|hr|body|html))(?:\s[^>]*)?/?>"
+)
+TAG = r"</?[a-zA-Z][^>]*>"
+PIECE = r"(?:\x01([^\x02]*)\x02|^)([^\x01]*)"
+ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
 
 BODY = "array<struct<headings:string,text:string>>"
 
 
-def html_elements(html: Column) -> Column:
-    """Headings, paragraphs and list items in page order, as ``array<struct<tag,text>>``."""
-    flat = F.regexp_replace(html, HIDDEN, "")
-    flat = F.regexp_replace(F.regexp_replace(flat, BREAK, " "), INLINE, "")
+def named_entities() -> str:
+    """The named characters of HTML 4 as JSON, from Python's own table."""
+    return json.dumps({name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'", "nbsp": " "})
+
+
+def unescape(text: Column) -> Column:
+    """Entities to characters in one pass, so that ``&amp;lt;`` stays ``&lt;``; unknown names stay as they are."""
+    names = F.from_json(F.lit(named_entities()), "map<string,string>")
+
+    parts = F.split(text, ENTITY)
+    found = F.regexp_extract_all(text, F.lit(ENTITY), F.lit(1))
+    decoded = F.transform(found, lambda e: F.coalesce(_numbered(e), F.try_element_at(names, e), F.concat(F.lit("&"), e, F.lit(";"))))
+    joined = F.array_join(F.transform(parts, lambda p, i: F.concat(p, F.coalesce(F.get(decoded, i), F.lit("")))), "")
+    return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
+
+
+def _numbered(entity: Column) -> Column:
+    """The character of ``#8217`` or ``#x2019``; a number that is no character becomes U+FFFD, a name null."""
+    base16 = F.conv(F.substring(entity, 3, 6), 16, 10)
+    code = F.when(F.lower(F.substring(entity, 2, 1)) == "x", base16).otherwise(F.substring(entity, 2, 7)).try_cast("int")
+    bad = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+    wide = F.unhex(F.lpad(F.hex(F.when(bad, F.lit(0xFFFD)).otherwise(code)), 8, "0"))
+    return F.when(entity.startswith("#"), F.decode(wide, "UTF-32"))
 
-    def unescape(text: Column) -> Column:
-        for entity, char in ENTITIES:
-            text = F.replace(text, F.lit(entity), F.lit(char))
-        return strip(F.regexp_replace(text, r"(?U)\s+", " "))
 
+def html_elements(html: Column) -> Column:
+    """All text of a page in order, as ``array<struct<tag,text>>``.
+
+    A heading, paragraph or list item lasts to the next tag of a block; all other text of a page (cells, quotes,
+    loose text, text after a closing tag) is a paragraph ``p``. Tags inside a block, known or not, vanish and their
+    text stays. The head, scripts, styles and comments are no text.
+    """
+    flat = F.regexp_replace(F.translate(html, "\x01\x02", ""), HIDDEN, "")
+    flat = F.regexp_replace(F.regexp_replace(flat, BREAK, " "), BORDER, "\x01$1\x02")
+    flat = F.regexp_replace(flat, TAG, "")
     found = F.arrays_zip(
-        F.regexp_extract_all(flat, F.lit(BLOCK), F.lit(1)).alias("tag"),
-        F.regexp_extract_all(flat, F.lit(BLOCK), F.lit(2)).alias("text"),
+        F.regexp_extract_all(flat, F.lit(PIECE), F.lit(1)).alias("tag"),
+        F.regexp_extract_all(flat, F.lit(PIECE), F.lit(2)).alias("text"),
     )
-    cleaned = F.transform(
-        found, lambda b: F.struct(F.lower(b["tag"]).alias("tag"), unescape(b["text"]).alias("text"))
-    )
-    return F.filter(cleaned, lambda b: b["text"] != "")
+
+    def element(b: Column) -> Column:
+        tag = F.lower(b["tag"])
+        own = F.when(tag.rlike("^(h[1-6]|li)$"), tag).otherwise(F.lit("p"))
+        return F.struct(own.alias("tag"), strip(F.regexp_replace(unescape(b["text"]), r"(?U)\s+", " ")).alias("text"))
+
+    return F.filter(F.transform(found, element), lambda b: b["text"] != "")
 
 
 def under_headings(elements: Column) -> Column:

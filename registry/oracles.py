@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import name2codepoint
+
 from qaloom import constants as C
-from qaloom.operators import blocks
 
 from . import sql as S
 from .sql import NL, lit
@@ -95,17 +97,25 @@ add(
 
 
 def elements() -> str:
-    flat = S.sub("html", blocks.HIDDEN)
-    flat = S.sub(S.sub(flat, blocks.BREAK, " "), blocks.INLINE)
-    text = "t"
-    for entity, char in blocks.ENTITIES:
-        text = f"replace({text}, {lit(entity)}, {lit(char)})"
-    clean = S.strip(S.sub(text, r"\s+", " "))
+    """Own patterns, not those of the library: everything up to the next block tag belongs to the piece before it."""
+    names = json.dumps({n: chr(c) for n, c in name2codepoint.items()} | {"apos": "'", "nbsp": " "})
+    blocks = "h[1-6]|p|li|div|article|section|nav|footer|header|aside|main|ul|ol|dl|dt|dd|table|thead|tbody|tfoot|tr|td|th|caption|pre|blockquote|form|body|html"
+    visible = "html"
+    for pattern in ("<!--.*?-->", "<!doctype[^>]*>", "<head[ >].*?</head>", "<head/?>", "<script.*?</script>", "<style.*?</style>"):
+        visible = f"regexp_replace({visible}, {lit(pattern)}, '', 'gis')"
+    visible = f"regexp_replace({visible}, '<br ?/?>', ' ', 'gi')"
+    marked = f"regexp_replace({visible}, '<(/?({blocks}))([ ][^>]*)?/?>', chr(1) || '\\1' || chr(2), 'gi')"
+    bare = f"regexp_replace({marked}, '</?[a-zA-Z][^>]*>', '', 'g')"
+    entity = "&[a-zA-Z]+;"
+    known = f"list_transform(regexp_extract_all(t, '{entity}'), lambda e: coalesce(json_extract_string({lit(names)}, '$.' || e[2:-2]), e))"
+    plain = f"array_to_string(list_transform(list_zip(regexp_split_to_array(t, '{entity}'), {known}), lambda z: coalesce(z[1], '') || coalesce(z[2], '')), '')"
     return (
-        f"flat AS (SELECT page_id, {flat} AS f FROM pages), "
-        f"found AS (SELECT page_id, unnest({S.every('f', blocks.BLOCK, 1)}) AS tag, unnest({S.every('f', blocks.BLOCK, 2)}) AS t, "
-        f"unnest(range(len({S.every('f', blocks.BLOCK, 1)}))) AS place FROM flat), "
-        f"elements AS (SELECT page_id, place, lower(tag) AS tag, {clean} AS text FROM found WHERE {clean} <> '')"
+        f"pieces_ AS (SELECT page_id, string_split({bare}, chr(1)) AS ps FROM pages), "
+        "found AS (SELECT page_id, unnest(ps) AS piece, unnest(range(len(ps))) AS place FROM pieces_), "
+        "cut_ AS (SELECT page_id, place, CASE WHEN contains(piece, chr(2)) THEN lower(split_part(piece, chr(2), 1)) ELSE '' END AS tag, "
+        "CASE WHEN contains(piece, chr(2)) THEN substr(piece, instr(piece, chr(2)) + 1) ELSE piece END AS t FROM found), "
+        f"clean AS (SELECT page_id, place, tag, {S.strip(S.sub(plain, r'\s+', ' '))} AS text FROM cut_), "
+        "elements AS (SELECT page_id, place, CASE WHEN regexp_matches(tag, '^(h[1-6]|li)$') THEN tag ELSE 'p' END AS tag, text FROM clean WHERE text <> '')"
     )
 
 

@@ -19,7 +19,19 @@ def test_headings_above_elements(spark):
         ("", "intro"), ("One", "a bold b &lt;"), ("One > Two", "i1"), ("One > Two", "i2"),
         ("One > Two > Deep", "deep"), ("One > Three", "end"),
     ]
-    assert rows[1] is None and rows[2] == []
+    assert rows[1] is None and [b["text"] for b in rows[2]] == ["no markup"]
+
+
+def test_no_text_is_lost(spark):
+    page = (
+        "<p>Press <kbd>F1</kbd> to open the help.</p><div>Loose text</div><table><tr><td>cell</td></tr></table><pre>code</pre>"
+        "<p>It&#8217;s <abbr>UI</abbr> text, 1 < 2 &eacute;&#x1F600;&#0;&none;&amp;gt;</p>tail<li><p>in</p>out"
+    )
+    got = spark.createDataFrame([(page,)], "html string").select(blocks.html_elements(F.col("html")).alias("v")).head()["v"]
+    assert [(e["tag"], e["text"]) for e in got] == [
+        ("p", "Press F1 to open the help."), ("p", "Loose text"), ("p", "cell"), ("p", "code"),
+        ("p", "It\u2019s UI text, 1 < 2 \u00e9\U0001F600\ufffd&none;&gt;"), ("p", "tail"), ("p", "in"), ("p", "out"),
+    ]
 
 
 def test_budget(spark):
