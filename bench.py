@@ -6,6 +6,7 @@ BENCH_SF_DIR names the folder of the tables, BENCH_CPUS the number of local core
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -26,7 +27,8 @@ def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("bench").config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "12g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", os.environ.get("CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="run-")).getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     spent = {}

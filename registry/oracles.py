@@ -548,8 +548,14 @@ add(
 )
 add(
     "generate_completions",
-    f"SELECT doc_id, unnest([0, 1])::BIGINT AS cand_idx, md5('Q: What is it?' || {NL} || 'A: ' || text) AS raw FROM documents WHERE n_chars % 7 <> 0",
+    f"SELECT doc_id, unnest([0, 1])::BIGINT AS cand_idx, md5('Q: What is it?' || {NL} || 'A: ' || text) AS raw FROM documents WHERE length(text) % 7 <> 0 AND length(text) % 11 <> 0",
 )
+add(
+    "scan_files",
+    f"SELECT page_id, strlen(html) + 1 AS length, md5(html || {NL}) AS content, page_id % 3 = 1 AS deep FROM pages WHERE page_id % 3 <> 2",
+)
+add("json_arrays", ORACLES["jsonl_roundtrip"])
+add("batched_rows", "SELECT doc_id, length(text) AS letters FROM documents")
 add("saved_trials", f"WITH {TRIALS} SELECT number, value, ep AS epochs FROM trials WHERE done")
 
 # --- the whole flow -----------------------------------------------------------

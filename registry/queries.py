@@ -595,7 +595,9 @@ def saved_trials(spark, folder):
 
 
 def _reply(prompts: pd.Series) -> pd.Series:
-    """A stand-in for a language model; gives up on some prompts."""
+    """A stand-in for a language model; gives up on some prompts and fails on others."""
+    if (prompts.str.len() % 11 == 0).any():
+        raise RuntimeError("the model is out of reach")
     return prompts.map(lambda p: None if len(p) % 7 == 0 else "Q: What is it?\nA: " + p)
 
 
@@ -608,8 +610,37 @@ def generate_completions(spark, folder):
 
 @query
 def scan_files(spark, folder):
-    """Files below the folder of the tables by name ending; their content is not read."""
-    return files.scan_documents(spark, folder, (".parquet",)).select(files.document_stem(F.col("doc_path")).alias("stem"), "length")
+    """Pages written as one file each, in two depths and two endings, then listed and read by their ending."""
+    root = new_folder(spark, "files")
+    pages = read_table(spark, folder, "pages").select("html", F.col("page_id").alias("page"))
+    pages.filter("page % 3 = 0").write.partitionBy("page").text(f"{root}/near")
+    pages.filter("page % 3 = 1").write.partitionBy("page").text(f"{root}/far/and/deep")
+    pages.filter("page % 3 = 2").write.partitionBy("page").json(f"{root}/other")
+    found = files.scan_documents(spark, root, (".TXT",))
+    page = F.regexp_extract("doc_path", r"/page=(\d+)/", 1).cast("bigint")
+    return found.select(page.alias("page_id"), "length", F.md5("content").alias("content"), F.contains("doc_path", F.lit("/deep/")).alias("deep"))
+
+
+@query
+def json_arrays(spark, folder):
+    """Conversations written as files that hold one JSON array each, 64 conversations at most, and read back."""
+    path = new_folder(spark, "arrays") + ".json"
+    rows = feeds.conversation_rows(spark, folder).withColumn("part", F.floor(F.col("conv_id") / 64))
+    arrays = rows.groupBy("part").agg(F.to_json(F.collect_list(F.struct("conv_id", "turn", "conversation"))).alias("value"))
+    arrays.write.partitionBy("part").text(path)
+    back = files.read_records(spark, path, f"conv_id bigint, turn bigint, conversation {m.MESSAGES}, part bigint")
+    r = files.require_columns(back, "conversation").select("conv_id", "turn", F.posexplode("conversation").alias("pos", "m"))
+    return r.select("conv_id", "turn", big("pos").alias("pos"), "m.role", "m.content")
+
+
+def _measure(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"doc_id": pdf["doc_id"], "letters": pdf["text"].str.len().astype("int64")})
+
+
+@query
+def batched_rows(spark, folder):
+    """A user's function over batches of documents."""
+    return files.map_batches(read_table(spark, folder, "documents").select("doc_id", "text"), _measure, "doc_id bigint, letters bigint")
 
 
 # --- the whole flow -----------------------------------------------------------

@@ -73,7 +73,7 @@ def test_split_table_and_completions(spark, tmp_path):
     assert sorted(tuple(r) for r in files.read_splits(spark, str(tmp_path / "s"), "id int").collect()) == [(1, "train"), (2, "val"), (3, "train")]
     raw = spark.createDataFrame([("/d/a.docx", 0, "x")], "doc_path string, window_index int, raw_text string")
     files.write_completions(raw, str(tmp_path / "c"))
-    assert (tmp_path / "c" / "doc_stem=a").is_dir()
+    assert [tuple(r) for r in spark.read.json(str(tmp_path / "c")).select("doc_stem", "window_index", "raw_text").collect()] == [("a", 0, "x")]
 
 
 def test_trials(spark, tmp_path):
@@ -91,6 +91,22 @@ def test_generate(spark):
     made = files.generate(df, "prompt", lambda p: p.map(lambda x: None if x == "a" else x * 2), 2)
     assert sorted(tuple(r) for r in made.collect()) == [(2, 0, "bbbb"), (2, 1, "bbbb")]
 
+    def weak(prompts):
+        if (prompts == "a").any():
+            raise RuntimeError("no answer")
+        return prompts.map(lambda x: "  " if x == "c" else x)
+
+    df = spark.createDataFrame([(1, "a"), (2, "bb"), (3, "c"), (4, "d")], "id int, prompt string").coalesce(1)
+    assert sorted(tuple(r) for r in files.generate(df, "prompt", weak).collect()) == [(2, 0, "bb"), (4, 0, "d")]
+
+
+def test_malformed_lines_end_the_job(spark, tmp_path):
+    (tmp_path / "train.jsonl").write_text('{"messages": []}\n{"messages": [\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.load_split(spark, str(tmp_path), "train").collect()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.convert_splits(spark, str(tmp_path), str(tmp_path / "out"))
+
 
 def test_shared_folder_and_spreading(spark):
     assert shared_folder(spark) == shared_folder(spark)
