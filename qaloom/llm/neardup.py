@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from qaloom.storage import materialize
 
-from . import hashing
+from . import hashing, memory
 from .graph import components, forest
 
 K, SLACK, UNIT = 64, 18, 4096
@@ -169,7 +169,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, k: int =
     empty result. Other columns are left out.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    sets = materialize(docs.mapInArrow(_sketches(k, width), "doc_id bigint, n bigint, mark binary, sketch binary"), "sketches")
+    sets = materialize(docs.mapInArrow(memory.over_batches(_sketches(k, width)), "doc_id bigint, n bigint, mark binary, sketch binary"), "sketches")
     full = sets.filter("n > 0 AND doc_id IS NOT NULL")
     first = full.groupBy("mark").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
     first = materialize(first, "classes")
@@ -178,7 +178,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, k: int =
     nodes = full.join(copies.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", "n", "sketch")
 
     # Lists of the rarest values of each sketch.
-    values = nodes.select("doc_id", "sketch").mapInArrow(_values, "doc bigint, value bigint")
+    values = nodes.select("doc_id", "sketch").mapInArrow(memory.over_batches(_values), "doc bigint, value bigint")
     common = materialize(values.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1"), "values")
     held = values.join(common, "value").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("held"))
     length = F.least(F.col("n"), F.lit(k)).cast("int")
@@ -205,7 +205,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, k: int =
     units = materialize(near.union(far).groupBy("x", "i", "j", "doc").agg(F.collect_list("value").alias("lists")), "units")
     texts = materialize(docs.join(members.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi"), "texts")
     rows = units.join(texts.select(F.col("doc_id").alias("doc"), "text"), "doc").repartition("x", "i", "j").sortWithinPartitions("x", "i", "j")
-    found = materialize(rows.mapInArrow(_units(k, width, percent), "a bigint, b bigint"), "found")
+    found = materialize(rows.mapInArrow(memory.over_batches(_units(k, width, percent)), "a bigint, b bigint"), "found")
 
     links = copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     group = components(links.union(found))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import hashing
+from . import hashing, memory
 from .columns import fresh
 
 STATISTICS = (
@@ -90,7 +90,7 @@ def with_statistics(docs: DataFrame, text: str, name: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, name])
                 i = j
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(memory.over_batches(run), schema)
 
 
 # --- fitting ------------------------------------------------------------------

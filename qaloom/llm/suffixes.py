@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from qaloom.storage import materialize
 
-from . import hashing
+from . import hashing, memory
 
 WIDTH, GRAM, CHUNK, BATCH, PART = 50, 24, 1 << 19, 1 << 22, 1 << 23
 LAST = np.iinfo(np.int64).max
@@ -149,7 +149,7 @@ def _grams(parts: int, width: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in memory.rows(batch):
                 b = Batch(row, width, gram)
                 both = np.unique((b.key << np.uint64(24)) | b.doc.astype(np.uint64))  # a batch has fewer than 2**24 documents
                 value, count = np.unique(both >> np.uint64(24), return_counts=True)
@@ -258,7 +258,7 @@ def _runs(parts: int, width: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in memory.rows(batch):
                 b = Batch(row, width, gram)
                 b.keep(row["grams"] or [])
                 order, which = b.suffixes(width)
@@ -333,7 +333,7 @@ def _cut(width: int, gram: int, rest: T.DataType, texts: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for n, row in enumerate(batch.select(["ids", "offsets", "blob", "grams", "answers"]).to_pylist()):
+            for n, row in enumerate(memory.rows(batch.select(["ids", "offsets", "blob", "grams", "answers"]))):
                 b = Batch(row, width, gram)
                 b.keep(row["grams"] or [])
                 order, which = b.suffixes(width)
@@ -387,18 +387,18 @@ def remove_repeats(docs: DataFrame, others: Column | None = None, texts: bool =
     schema = T.StructType([T.StructField(c, t) for c, t in (
         ("batch", T.LongType()), ("size", T.LongType()), ("ids", T.BinaryType()), ("offsets", T.BinaryType()), ("blob", T.BinaryType()), ("rest", T.ArrayType(kind)),
     )])
-    batches = materialize(source.mapInArrow(_pack(kind), schema), "batches")
+    batches = materialize(source.mapInArrow(memory.over_batches(_pack(kind)), schema), "batches")
     parts = max(1, -(-(batches.agg(F.sum("size")).first()[0] or 0) // PART), 2 * docs.sparkSession.sparkContext.defaultParallelism)
     load = batches.select("batch", "ids", "offsets", "blob")
-    grams = load.mapInArrow(_grams(parts, width, gram), "part bigint, batch bigint, one binary, several binary")
-    shared = grams.groupBy("part").applyInPandas(_shared, "batch bigint, grams binary")
+    grams = load.mapInArrow(memory.over_batches(_grams(parts, width, gram)), "part bigint, batch bigint, one binary, several binary")
+    shared = grams.groupBy("part").applyInPandas(memory.over_group(_shared), "batch bigint, grams binary")
     shared = materialize(shared.groupBy("batch").agg(F.collect_list("grams").alias("grams")), "grams")
-    runs = load.join(shared, "batch").mapInArrow(_runs(parts, width, gram), RUN)
-    answers = runs.groupBy("part").applyInPandas(_merged(width), ANSWER)
+    runs = load.join(shared, "batch").mapInArrow(memory.over_batches(_runs(parts, width, gram)), RUN)
+    answers = runs.groupBy("part").applyInPandas(memory.over_group(_merged(width)), ANSWER)
     answers = materialize(answers.groupBy("batch").agg(F.collect_list(F.struct("places", "least", "odd", "odd_least")).alias("answers")), "answers")
     back = shared.join(answers, "batch")
     out = T.StructType([T.StructField(c, t) for c, t in (
         ("doc_id", T.LongType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType()),
         ("kept", T.StringType()), ("rest", kind),
     )])
-    return batches.drop("size").join(back, "batch", "left").mapInArrow(_cut(width, gram, kind, texts), out)
+    return batches.drop("size").join(back, "batch", "left").mapInArrow(memory.over_batches(_cut(width, gram, kind, texts)), out)

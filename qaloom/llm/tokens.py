@@ -18,6 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import memory
+
 LETTER = "a-zªµºß-öø-ÿ"
 DIGIT = "0-9²³¹¼-¾"
 WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{DIGIT}]|[^\s\xa0\x85{LETTER}{DIGIT}]+").findall
@@ -116,4 +118,4 @@ def pieces(docs: DataFrame, path: str, limit: int = 2048, end_id: int = 0) -> Da
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "piece_key"],
             )
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, PIECE)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(memory.over_batches(run), PIECE)
