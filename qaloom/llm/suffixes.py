@@ -28,7 +28,7 @@ from qaloom.storage import materialize
 
 from . import hashing, memory
 
-WIDTH, GRAM, CHUNK, BATCH, PART = 50, 24, 1 << 19, 1 << 22, 1 << 23
+WIDTH, GRAM, CHUNK, BATCH, PART = 50, 24, 1 << 17, 1 << 22, 1 << 23
 LAST = np.iinfo(np.int64).max
 LOCAL = np.uint64(20)
 
@@ -38,7 +38,6 @@ def anchors(data: np.ndarray, offsets: np.ndarray, width: int, gram: int) -> tup
     """Groups of neighbouring windows with one anchor: first and last window start, gram (40 bits), document."""
     first, last, key, owner = [], [], [], []
     span = width - gram + 1
-    docs, ends = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets)), np.repeat(offsets[1:], np.diff(offsets))
     for at in range(0, max(0, len(data) - width + 1), CHUNK):
         part = data[at : at + CHUNK + width - 1]
         n = len(part) - width + 1
@@ -52,8 +51,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray, width: int, gram: int) -> tup
         back = np.minimum.accumulate(table[:, ::-1], axis=1)[:, ::-1].ravel()
         place = (np.minimum(back[:n], ahead[span - 1 : span - 1 + n]) & np.uint64((1 << 20) - 1)).astype(np.int64)
         start = np.arange(at, at + n)
-        doc = docs[at : at + n]
-        valid = start + width <= ends[at : at + n]
+        doc = (np.searchsorted(offsets, start, side="right") - 1).astype(np.int32)
+        valid = start + width <= offsets[doc + 1]
         start, doc, place = start[valid], doc[valid], place[valid]
         if not len(start):
             continue
@@ -116,7 +115,7 @@ class Batch:
         text = [self.raw[a : b + width] for a, b in zip(self.first.tolist(), self.last.tolist())]
         order = sorted(set(text))
         at = {x: n for n, x in enumerate(order)}
-        return order, np.array([at[x] for x in text], np.int64)
+        return order, np.fromiter((at[x] for x in text), np.int64, len(text))
 
 
 def _pack(rest: T.DataType):
@@ -355,7 +354,7 @@ def _cut(width: int, gram: int, rest: T.DataType, texts: bool):
                     hit = b.first[g] + np.flatnonzero(odd[which[g]] < own[g])
                     np.add.at(mark, hit, 1)
                     np.add.at(mark, hit + width, -1)
-                gone = np.cumsum(mark[:-1]) > 0
+                gone = np.cumsum(mark, out=mark)[:-1] > 0
                 rows = []
                 for i in range(len(b.ids)):
                     lo, hi = b.offsets[i], b.offsets[i + 1]
