@@ -49,9 +49,11 @@ def no_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them: weights 5, 2, 1 in turn, none above three times its size."""
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), _rest(docs, "doc_id", "source"))
-    small = materialize(sized.select("source", "size"), "sizes")
-    mixed = mixing.mix(sized, "doc_id", "source", "size", mixing.source_targets(small, "source", "size", [5, 2, 1]))
+    number = F.monotonically_increasing_id().alias("row")
+    rows = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), _rest(docs, "doc_id", "source"), number), "rows")
+    small = rows.select("doc_id", "source", "size", "row")  # whole texts stay out of the exchanges of the mix
+    mixed = mixing.mix(small, "doc_id", "source", "size", mixing.source_targets(small, "source", "size", [5, 2, 1]))
+    mixed = rows.join(materialize(mixed.filter("copies > 0").select("row", "copies"), "copies"), "row")
     return mixing.emit(mixed).select(*_back(docs, doc_id=F.col("doc_id"), source=F.col("source")))
 
 
