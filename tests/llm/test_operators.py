@@ -170,6 +170,22 @@ def test_reputation(spark):
     assert reputation.judge(pages.limit(0), outcomes.limit(0)).count() == 0
 
 
+def test_reputation_of_unlabelled_hosts(spark):
+    hosts = [f"h{i}.bad.com" for i in range(40)] + [f"h{i}.good.com" for i in range(40)] + [f"h{i}.bad.gov.xx" for i in range(40)] + [f"h{i}.good.gov.xx" for i in range(40)]
+    rows = [(n, f"http://{h}/") for n, h in enumerate(h for h in hosts for _ in range(5))]
+    new = {9001: "new.bad.com", 9002: "new.good.com", 9003: "new.other.com", 9004: "a.zz", 9005: "new.bad.gov.xx", 9006: "new.good.gov.xx"}
+    pages = spark.createDataFrame(rows + [(i, f"http://{h}/") for i, h in new.items()], "page_id bigint, url string")
+    outcomes = spark.createDataFrame([(n, int("bad" in u)) for n, u in rows], "page_id bigint, bad bigint")
+    verdict = {r["page_id"]: r["verdict"] for r in reputation.judge(pages, outcomes, rules=(), wide_suffixes=["gov.xx"]).collect()}
+    assert all(verdict[n] == ("block" if "bad" in u else "allow") for n, u in rows)
+    assert {i: verdict[i] for i in new} == {9001: "block", 9002: "allow", 9003: "allow", 9004: "allow", 9005: "block", 9006: "allow"}
+    seen = spark.createDataFrame([("a.x.com", 1), ("a.x.com", 1), ("b.y.com", 0), ("c.z.org", 0)], "host string, bad bigint")
+    more = seen.union(spark.createDataFrame([("b.x.com", None), ("x.new.com", None), ("y.new.net", None)], seen.schema))
+    few, all_ = ({r["host"]: r for r in reputation.host_reputation(x).collect()} for x in (seen, more))
+    assert all(all_[h]["bad_rate"] == pytest.approx(few[h]["bad_rate"]) and all_[h]["bound"] == pytest.approx(few[h]["bound"]) for h in few)
+    assert "y.new.net" not in all_ and all_["b.x.com"]["bad_rate"] > all_["x.new.com"]["bad_rate"]
+
+
 def test_warc(spark):
     long_ = "x" * 5000 + "é"
     rows = [(3, "http://a/\r\n", long_), (1, None, long_), (2, "http://b/", None), (4, "u", "short"), (5, "u", "short"), (None, "n", long_), (6, "v", long_)]
