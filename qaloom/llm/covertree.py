@@ -91,17 +91,17 @@ def dual(a: Tree, b: Tree, chord: float) -> Iterator[tuple[np.ndarray, np.ndarra
 def _assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The cell of the nearest pivot below a cell."""
     for batch in batches:
-        x = np.array(batch.column("unit").to_pylist())
-        cells, out = batch.column("cell").to_pylist(), []
-        pivots = batch.column("pivots").to_pylist()
-        made: dict[int, np.ndarray] = {}
-        for i, cell in enumerate(cells):
-            if pivots[i] is None:
-                out.append(cell)
+        unit, pivots = batch.column("unit"), batch.column("pivots")
+        x = np.split(unit.flatten().to_numpy(zero_copy_only=False), np.cumsum(unit.value_lengths().to_numpy(zero_copy_only=False))[:-1])
+        out = []
+        made: dict[tuple[str, int], np.ndarray] = {}  # a cell has its number within a label
+        for i, key in enumerate(zip(batch.column("label").to_pylist(), batch.column("cell").to_pylist())):
+            if not pivots[i].is_valid:
+                out.append(key[1])
                 continue
-            if cell not in made:
-                made[cell] = np.array(pivots[i])
-            out.append(cell * 64 + 1 + int(np.argmax(made[cell] @ x[i])))
+            if key not in made:
+                made[key] = np.array(pivots[i].as_py())
+            out.append(key[1] * 64 + 1 + int(np.argmax(made[key] @ x[i])))
         yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("id"), batch.column("rows"), batch.column("unit"), pa.array(out, pa.int64())], names=["label", "id", "rows", "unit", "cell"])
 
 

@@ -266,3 +266,36 @@ def test_vectors(spark):
     a, b = covertree.Tree(x[:150]), covertree.Tree(x[150:])
     met = {(int(i), int(j)) for p, q in covertree.dual(a, b, 0.6) for i in p for j in q}
     assert all((i, j) in met for i, j in zip(*np.nonzero(np.linalg.norm(x[:150, None] - x[150:], axis=2) <= 0.6)))
+
+
+def linked_vectors(rows):
+    """Brute force: the links and the component of every id; rows are (id, vector, label)."""
+    links, top = {i: 0 for i, _, _ in rows}, {i: i for i, _, _ in rows}
+    pairs = []
+    for key in {(label, len(v)) for _, v, label in rows}:
+        ids = [i for i, v, label in rows if (label, len(v)) == key]
+        x = np.array([v for _, v, label in rows if (label, len(v)) == key])
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        pairs += [(ids[a], ids[b]) for a, b in np.argwhere(x @ x.T >= 0.98).tolist() if a != b]
+    for a, b in pairs:
+        links[a] += 1
+    while any(top[a] != top[b] for a, b in pairs):
+        for a, b in pairs:
+            top[a] = top[b] = min(top[a], top[b])
+    return {i: (links[i], top[i], top[i] == i) for i in links}
+
+
+def test_vectors_of_many_cells(spark):
+    rng = np.random.default_rng(8)
+    rows = [(n, rng.normal(size=4).tolist(), n % 2) for n in range(2 * covertree.CELL + 300)] + [(9000, [1.0, 2.0], 0), (9001, [1.0, 2.01], 0), (9002, [1.0] * 7, 1)]
+    out = covertree.near_duplicates(spark.createDataFrame(rows, "id bigint, vector array<double>, label int")).collect()
+    assert {r["id"]: (r["n_links"], r["component"], r["kept"]) for r in out} == linked_vectors(rows) and len(out) == len(rows)
+
+
+def test_pivots_of_labels():
+    unit = [[1.0, 0.0], [1.0, 0.0], [0.0, 1.0], [0.6, 0.0, 0.8]]
+    pivots = [[[1.0, 0.0], [0.0, 1.0]], [[0.0, 1.0], [1.0, 0.0]], [[0.0, 1.0], [1.0, 0.0]], None]
+    batch = pa.RecordBatch.from_pydict({"label": ["a", "b", "b", "c"], "id": [1, 2, 3, 4], "rows": [1] * 4, "unit": unit, "cell": [0] * 4, "pivots": pivots})
+    for part in (batch, batch.slice(1)):
+        (got,) = covertree._assign(iter([part]))
+        assert got.column("cell").to_pylist() == [1, 2, 1, 0][-part.num_rows :]
