@@ -25,7 +25,8 @@ from .graph import components, forest
 from .topk import usable
 
 CELL, PIVOTS, LEAF, DEPTH = 1024, 24, 48, 12
-BLOCK = "label string, block bigint, ids binary, rows binary, vectors binary, center array<double>, radius double"
+BLOCK = "label string, block string, nodes binary, ids binary, rows binary, vectors binary, center array<double>, radius double"
+NODE = ["label", "node", "id", "rows", "unit", "cell"]
 
 
 class Tree:
@@ -102,27 +103,29 @@ def _assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if key not in made:
                 made[key] = np.array(pivots[i].as_py())
             out.append(key[1] * 64 + 1 + int(np.argmax(made[key] @ x[i])))
-        yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("id"), batch.column("rows"), batch.column("unit"), pa.array(out, pa.int64())], names=["label", "id", "rows", "unit", "cell"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in NODE[:-1]), pa.array(out, pa.int64())], names=NODE)
 
 
 def _pack(part: pd.DataFrame) -> pd.DataFrame:
-    part = part.sort_values("id")
+    part = part.sort_values("node")
     x = np.array(part["unit"].tolist())
     center = x.mean(axis=0)
     return pd.DataFrame({
-        "label": [part["label"].iloc[0]], "block": [int(part["id"].iloc[0])], "ids": [part["id"].to_numpy(np.int64).tobytes()], "rows": [part["rows"].to_numpy(np.int64).tobytes()],
+        "label": [part["label"].iloc[0]], "block": [f"{part['cell'].iloc[0]}:{part['cut'].iloc[0]}"],
+        **{name: [part[c].to_numpy(np.int64).tobytes()] for name, c in (("nodes", "node"), ("ids", "id"), ("rows", "rows"))},
         "vectors": [x.tobytes()], "center": [center.tolist()], "radius": [float(np.sqrt(np.maximum(0, ((x - center) ** 2).sum(axis=1)).max()))],
     })
 
 
 def _joined(cosine: float):
-    """Counts (id, links) and forest links (a, b) of each pair of blocks."""
+    """Counts (node, id, links) and forest links (id, other) of each pair of blocks."""
     chord = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
-    schema = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
+    schema = pa.schema([("node", pa.int64()), ("id", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
+                nodes = [np.frombuffer(r[f"nodes_{s}"], np.int64) for s in "ab"]
                 ids = [np.frombuffer(r[f"ids_{s}"], np.int64) for s in "ab"]
                 rows = [np.frombuffer(r[f"rows_{s}"], np.int64) for s in "ab"]
                 x = [np.frombuffer(r[f"vectors_{s}"], np.float64).reshape(len(ids[n]), -1) for n, s in enumerate("ab")]
@@ -142,12 +145,12 @@ def _joined(cosine: float):
                     found.append((ids[0][i], ids[1][j]))
                 a = np.concatenate([np.zeros(0, np.int64), *(f[0] for f in found)]).tolist()
                 b = np.concatenate([np.zeros(0, np.int64), *(f[1] for f in found)]).tolist()
-                node, root = forest(a, b)
-                who, n = (ids[0], links[0]) if same else (np.concatenate(ids), np.concatenate(links))
-                who, n = who[n > 0], n[n > 0]
+                below, root = forest(a, b)
+                node, who, n = (nodes[0], ids[0], links[0]) if same else (np.concatenate(x) for x in (nodes, ids, links))
+                node, who, n = node[n > 0], who[n > 0], n[n > 0]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([who, np.array(node, np.int64)]), pa.int64()), pa.array(np.concatenate([n, np.zeros(len(node), np.int64)]), pa.int64()),
-                     pa.array([None] * len(who) + root, pa.int64())], schema=schema,
+                    [pa.array(node.tolist() + [None] * len(below), pa.int64()), pa.array(np.concatenate([who, np.array(below, np.int64)]), pa.int64()),
+                     pa.array(np.concatenate([n, np.zeros(len(below), np.int64)]), pa.int64()), pa.array([None] * len(who) + root, pa.int64())], schema=schema,
                 )
 
     return run
@@ -170,42 +173,46 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     real = real.withColumn("s", size).select("label", "id", scaled.alias("w")).withColumn("norm", norm)
     real = real.select("label", "id", F.transform("w", lambda x: x / F.col("norm")).alias("unit"))
     real = materialize(real.withColumn("mark", F.sha2(F.array_join("unit", ","), 256)), "units")
-    classes = materialize(real.groupBy("label", "mark").agg(F.min("id").alias("rep"), F.count("*").alias("rows")).filter("rows > 1"), "classes")
-    member = materialize(real.join(classes, ["label", "mark"]).select("id", "rep", "rows"), "members")
-    single = real.join(classes.select("label", "mark"), ["label", "mark"], "left_anti").select("label", "id", F.lit(1).cast("bigint").alias("rows"), "unit")
-    several = real.join(classes, ["label", "mark"]).filter("id = rep").dropDuplicates(["label", "mark"]).select("label", "id", "rows", "unit")
+    # Each different vector of a label is a node with a number of its own, as ids may be repeated: classes from 0, others below.
+    number = F.monotonically_increasing_id()
+    classes = real.groupBy("label", "mark").agg(F.min("id").alias("rep"), F.count("*").alias("rows")).filter("rows > 1")
+    classes = materialize(classes.withColumn("node", number), "classes")
+    member = materialize(real.join(classes, ["label", "mark"]).select("node", "id", "rep", "rows"), "members")
+    single = real.join(classes.select("label", "mark"), ["label", "mark"], "left_anti").select("label", (-1 - number).alias("node"), "id", F.lit(1).cast("bigint").alias("rows"), "unit")
+    several = real.join(classes, ["label", "mark"]).filter("id = rep").dropDuplicates(["label", "mark"]).select("label", "node", "id", "rows", "unit")
     nodes = materialize(single.union(several).withColumn("cell", F.lit(0).cast("bigint")), "nodes")
 
     for _ in range(DEPTH):
         big = materialize(nodes.groupBy("label", "cell").agg(F.count("*").alias("n")).filter(F.col("n") > CELL), "big")
         if big.isEmpty():
             break
-        some = nodes.join(big, ["label", "cell"]).filter(F.pmod(F.xxhash64("id", "cell"), F.greatest(F.lit(1), F.floor(F.col("n") / PIVOTS))) == 0)
+        some = nodes.join(big, ["label", "cell"]).filter(F.pmod(F.xxhash64("node", "cell"), F.greatest(F.lit(1), F.floor(F.col("n") / PIVOTS))) == 0)
         pivots = materialize(some.groupBy("label", "cell").agg(F.slice(F.collect_list("unit"), 1, 63).alias("pivots")), "pivots")
-        nodes = materialize(nodes.join(pivots, ["label", "cell"], "left").mapInArrow(_assign, "label string, id bigint, rows bigint, unit array<double>, cell bigint"), "nodes")
+        nodes = materialize(nodes.join(pivots, ["label", "cell"], "left").mapInArrow(_assign, "label string, node bigint, id bigint, rows bigint, unit array<double>, cell bigint"), "nodes")
         if nodes.groupBy("label", "cell").count().agg(F.max("count")).first()[0] <= CELL or (1 << 57) < (nodes.agg(F.max("cell")).first()[0] or 0):
             break
 
     cells = materialize(nodes.groupBy("label", "cell").agg(F.ceil(F.count("*") / CELL).alias("cuts")), "cells")
-    cut = nodes.join(cells, ["label", "cell"]).withColumn("cut", F.pmod(F.xxhash64(F.lit(3), "id"), F.col("cuts")))
+    cut = nodes.join(cells, ["label", "cell"]).withColumn("cut", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("cuts")))
     blocks = materialize(cut.groupBy("label", "cell", "cut").applyInPandas(_pack, BLOCK), "blocks")
     heads = blocks.select("label", "block", "center", "radius")
     a, b = (heads.select("label", *[F.col(c).alias(f"{c}_{s}") for c in ("block", "center", "radius")]) for s in "ab")
     gap = F.sqrt(F.aggregate(F.zip_with("center_a", "center_b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, x: t + x))
     chord = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
     pairs = materialize(a.join(b, "label").filter("block_a <= block_b").filter(gap <= F.col("radius_a") + F.col("radius_b") + chord + 1e-9).select("label", "block_a", "block_b"), "pairs")
-    load = [blocks.select("label", *[F.col(c).alias(f"{c}_{s}") for c in ("block", "ids", "rows", "vectors")]) for s in "ab"]
+    load = [blocks.select("label", *[F.col(c).alias(f"{c}_{s}") for c in ("block", "nodes", "ids", "rows", "vectors")]) for s in "ab"]
     full = pairs.join(load[0], ["label", "block_a"]).repartition("block_a", "block_b").join(load[1], ["label", "block_b"])
-    found = materialize(full.mapInArrow(_joined(cosine), "id bigint, links bigint, other bigint"), "found")
+    found = materialize(full.mapInArrow(_joined(cosine), "node bigint, id bigint, links bigint, other bigint"), "found")
 
-    count = found.filter("other IS NULL").groupBy("id").agg(F.sum("links").alias("links"))
+    count = found.filter("other IS NULL").groupBy("node", "id").agg(F.sum("links").alias("links"))
     links = found.filter("other IS NOT NULL").select(F.col("id").alias("a"), F.col("other").alias("b")).union(member.select("id", "rep"))
     group = components(links)
-    rep = member.groupBy("id").agg(F.min("rep").alias("rep"), F.sum(F.col("rows") - 1).alias("twins"))
-    out = vectors.select(F.col("id").cast("bigint").alias("id")).join(rep, "id", "left").withColumn("node", F.coalesce("rep", "id"))
-    out = out.join(count.withColumnRenamed("id", "node"), "node", "left").join(group, "id", "left")
+    each = F.coalesce("links", F.lit(0)) + F.col("rows") - 1
+    twins = member.join(count.filter("node >= 0").select("node", "links"), "node", "left").select("id", each.alias("links"))
+    own = count.filter("node < 0").select("id", "links").union(twins).groupBy("id").agg(F.sum("links").alias("links"))
+    out = vectors.select(F.col("id").cast("bigint").alias("id")).join(own, "id", "left").join(group, "id", "left")
     comp = F.coalesce("component", "id")
     return out.select(
-        "id", (F.coalesce("links", F.lit(0)) + F.coalesce("twins", F.lit(0))).cast("bigint").alias("n_links"), comp.alias("component"),
+        "id", F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"), comp.alias("component"),
         F.coalesce(comp == F.col("id"), F.lit(True)).alias("kept"),
     )

@@ -292,10 +292,19 @@ def test_vectors_of_many_cells(spark):
     assert {r["id"]: (r["n_links"], r["component"], r["kept"]) for r in out} == linked_vectors(rows) and len(out) == len(rows)
 
 
+def test_vectors_of_repeated_ids(spark):
+    rng = np.random.default_rng(9)
+    rows = [(n % 40 if n % 3 else n, rng.normal(size=3).tolist(), n % 2) for n in range(2 * covertree.CELL + 900)]
+    rows += [(0, rows[n][1], rows[n][2]) for n in range(0, 300, 7)] + [rows[5]] * 3
+    out = covertree.near_duplicates(spark.createDataFrame(rows, "id bigint, vector array<double>, label int")).collect()
+    want = linked_vectors(rows)
+    assert all((r["n_links"], r["component"], r["kept"]) == want[r["id"]] for r in out) and len(out) == len(rows)
+
+
 def test_pivots_of_labels():
     unit = [[1.0, 0.0], [1.0, 0.0], [0.0, 1.0], [0.6, 0.0, 0.8]]
     pivots = [[[1.0, 0.0], [0.0, 1.0]], [[0.0, 1.0], [1.0, 0.0]], [[0.0, 1.0], [1.0, 0.0]], None]
-    batch = pa.RecordBatch.from_pydict({"label": ["a", "b", "b", "c"], "id": [1, 2, 3, 4], "rows": [1] * 4, "unit": unit, "cell": [0] * 4, "pivots": pivots})
+    batch = pa.RecordBatch.from_pydict({"label": ["a", "b", "b", "c"], "node": [1, 2, 3, 4], "id": [1, 2, 3, 4], "rows": [1] * 4, "unit": unit, "cell": [0] * 4, "pivots": pivots})
     for part in (batch, batch.slice(1)):
         (got,) = covertree._assign(iter([part]))
         assert got.column("cell").to_pylist() == [1, 2, 1, 0][-part.num_rows :]
