@@ -6,7 +6,7 @@ a chance of a millionth; a set of at most 48 shingles has no such chance, as its
 list even if each document is put only into the lists of its rarest values, and values of common passages are left to
 the few documents made of nothing else.
 
-Equal sets are one node. Documents that lists join, directly or over others, are a family; a task gets a family, or a
+Equal sets are one node, that of one row with the smallest number. Documents that lists join, directly or over others, are a family; a task gets a family, or a
 part of one, with each text once, counts by inverted lists what sketches and then whole sets share, and returns a
 forest of the links and never all pairs of a group.
 """
@@ -33,12 +33,13 @@ def _sketches(k: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, mark, low = [], [], []
-            for s in hashing.shingle_sets(batch.column(1), width):
+            for s in hashing.shingle_sets(batch.column("text"), width):
                 size.append(len(s))
                 mark.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 low.append(s[:k].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(mark, pa.binary()), pa.array(low, pa.binary())], names=["doc_id", "n", "mark", "sketch"]
+                [batch.column("doc_id"), batch.column("code"), pa.array(size, pa.int64()), pa.array(mark, pa.binary()), pa.array(low, pa.binary())],
+                names=["doc_id", "code", "n", "mark", "sketch"],
             )
 
     return run
@@ -50,8 +51,8 @@ def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.array([len(x) // 8 for x in batch.column(1).to_pylist()], np.int64)
         value = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64)
         for at in range(0, len(value), 200_000):
-            doc = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), n)[at : at + 200_000]
-            yield pa.RecordBatch.from_pydict({"doc": pa.array(doc, pa.int64()), "value": pa.array(value[at : at + 200_000])})
+            node = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), n)[at : at + 200_000]
+            yield pa.RecordBatch.from_pydict({"node": pa.array(node, pa.int64()), "value": pa.array(value[at : at + 200_000])})
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -114,9 +115,9 @@ def needed(length: np.ndarray, k: int, percent: int) -> np.ndarray:
 
 
 def _units(k: int, width: int, percent: int):
-    """Links of every unit; rows (x, i, j, doc, text, lists) come sorted by unit.
+    """Links of every unit; rows (x, i, j, node, doc_id, text, lists) come sorted by unit and node.
 
-    A unit with more documents than ``UNIT`` is done in parts: lists one after another, as many as their documents fit.
+    A node comes once for every row that repeats its doc_id and text, and is taken once. A unit with more documents than ``UNIT`` is done in parts: lists one after another, as many as their documents fit.
     """
 
     def parts(docs: np.ndarray, sets: list, lists: list) -> Iterator[pa.RecordBatch]:
@@ -142,11 +143,14 @@ def _units(k: int, width: int, percent: int):
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, docs, sets, lists = None, [], [], []
+        key, last, docs, sets, lists = None, None, [], [], []
         for batch in batches:
             unit = zip(*(batch.column(c).to_pylist() for c in ("x", "i", "j")))
-            rows = zip(unit, batch.column("doc").to_pylist(), batch.column("lists").to_pylist(), hashing.shingle_sets(batch.column("text"), width))
-            for unit, doc, values, s in rows:
+            rows = zip(unit, *(batch.column(c).to_pylist() for c in ("node", "doc_id", "lists")), hashing.shingle_sets(batch.column("text"), width))
+            for unit, node, doc, values, s in rows:
+                if (unit, node) == last and np.array_equal(s, sets[-1]):
+                    continue
+                last = unit, node
                 if unit != key:
                     if len(docs) > 1:
                         yield from parts(np.array(docs), sets, lists)
@@ -168,43 +172,44 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, k: int =
     kept, its component is null. A repeated doc_id is one node with the links of all its rows. An empty table gives an
     empty result. Other columns are left out.
     """
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    sets = materialize(docs.mapInArrow(memory.over_batches(_sketches(k, width)), "doc_id bigint, n bigint, mark binary, sketch binary"), "sketches")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("code"))
+    sets = docs.mapInArrow(memory.over_batches(_sketches(k, width)), "doc_id bigint, code bigint, n bigint, mark binary, sketch binary")
+    sets = materialize(sets.withColumn("node", F.monotonically_increasing_id()), "sketches")
     full = sets.filter("n > 0 AND doc_id IS NOT NULL")
-    first = full.groupBy("mark").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
-    first = materialize(first, "classes")
-    copies = full.select("doc_id", "mark").join(first, "mark").filter("doc_id <> rep").select("doc_id", "rep").distinct()
-    copies = materialize(copies, "copies")
-    nodes = full.join(copies.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", "n", "sketch")
+    first = full.groupBy("mark").agg(F.min("doc_id").alias("rep"), F.min_by("node", "doc_id").alias("one"), F.count("*").alias("rows"))
+    first = materialize(first.filter("rows > 1").drop("rows"), "classes")
+    copies = materialize(full.select("doc_id", "node", "mark").join(first, "mark").filter("node <> one").select("node", "doc_id", "rep"), "copies")
+    # A node is one row of each class, not all rows of a doc_id: a doc_id that is a copy in one row may stand for others.
+    nodes = full.join(copies.select("node"), "node", "left_anti").select("node", "doc_id", "code", "n", "sketch")
 
     # Lists of the rarest values of each sketch.
-    values = nodes.select("doc_id", "sketch").mapInArrow(memory.over_batches(_values), "doc bigint, value bigint")
+    values = nodes.select("node", "sketch").mapInArrow(memory.over_batches(_values), "node bigint, value bigint")
     common = materialize(values.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1"), "values")
-    held = values.join(common, "value").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("held"))
+    held = values.join(common, "value").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("held"))
     length = F.least(F.col("n"), F.lit(k)).cast("int")
     table = F.array(*[F.lit(int(x)) for x in needed(np.arange(k + 1), k, percent)])
     need = F.element_at(table, length + 1)
-    sized = held.join(nodes.select(F.col("doc_id").alias("doc"), "n"), "doc")
+    sized = held.join(nodes.select("node", "doc_id", "code", "n"), "node")
     chosen = F.slice("held", F.lit(1), F.greatest(F.lit(0), length - need + 1 - (length - F.size("held"))))
-    members = materialize(sized.select("doc", F.transform(chosen, lambda x: x["value"]).alias("lists")).filter(F.size("lists") > 0), "members")
-    slim = materialize(members.select("doc", F.explode("lists").alias("value")), "lists")
+    members = materialize(sized.select("node", "doc_id", "code", F.transform(chosen, lambda x: x["value"]).alias("lists")).filter(F.size("lists") > 0), "members")
+    slim = materialize(members.select("node", F.explode("lists").alias("value")), "lists")
 
     # Units: lists of one family (documents joined by lists) together, so that a text travels once and not once a list;
     # large families are cut by list, and lists above UNIT by blocks that meet each other.
-    size = materialize(slim.groupBy("value").agg(F.count("*").alias("rows"), F.min("doc").alias("least")).filter("rows > 1"), "sizes")
+    size = materialize(slim.groupBy("value").agg(F.count("*").alias("rows"), F.min("node").alias("least")).filter("rows > 1"), "sizes")
     met = slim.join(size, "value")
-    family = components(met.filter(F.col("rows") <= UNIT).select(F.col("doc").alias("a"), F.col("least").alias("b")))
-    family = family.select(F.col("id").alias("doc"), F.col("component").alias("x"))
+    family = components(met.filter(F.col("rows") <= UNIT).select(F.col("node").alias("a"), F.col("least").alias("b")))
+    family = family.select(F.col("id").alias("node"), F.col("component").alias("x"))
     wide = materialize(family.groupBy("x").agg((F.floor(F.count("*") / UNIT) + 1).cast("int").alias("cuts")).filter("cuts > 1"), "wide")
-    near = met.filter(F.col("rows") <= UNIT).join(family, "doc", "left").withColumn("x", F.coalesce("x", "doc")).join(wide, "x", "left")
-    near = near.select("doc", "value", "x", F.pmod(F.xxhash64("value"), F.coalesce("cuts", F.lit(1))).cast("int").alias("i"), F.lit(-1).alias("j"))
+    near = met.filter(F.col("rows") <= UNIT).join(family, "node", "left").withColumn("x", F.coalesce("x", "node")).join(wide, "x", "left")
+    near = near.select("node", "value", "x", F.pmod(F.xxhash64("value"), F.coalesce("cuts", F.lit(1))).cast("int").alias("i"), F.lit(-1).alias("j"))
     blocks = F.ceil(2 * F.col("rows") / UNIT).cast("int")
-    far = met.filter(F.col("rows") > UNIT).withColumn("own", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
-    far = far.select("doc", "value", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    far = far.select("doc", "value", F.col("value").alias("x"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    units = materialize(near.union(far).groupBy("x", "i", "j", "doc").agg(F.collect_list("value").alias("lists")), "units")
-    texts = materialize(docs.join(members.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi"), "texts")
-    rows = units.join(texts.select(F.col("doc_id").alias("doc"), "text"), "doc").repartition("x", "i", "j").sortWithinPartitions("x", "i", "j")
+    far = met.filter(F.col("rows") > UNIT).withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    far = far.select("node", "value", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    far = far.select("node", "value", F.col("value").alias("x"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    units = materialize(near.union(far).groupBy("x", "i", "j", "node").agg(F.collect_list("value").alias("lists")), "units")
+    texts = materialize(docs.join(members.select("node", "doc_id", "code"), ["doc_id", "code"]).select("node", "doc_id", "text"), "texts")
+    rows = units.join(texts, "node").repartition("x", "i", "j").sortWithinPartitions("x", "i", "j", "node")
     found = materialize(rows.mapInArrow(memory.over_batches(_units(k, width, percent)), "a bigint, b bigint"), "found")
 
     links = copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))

@@ -110,6 +110,24 @@ def test_near_duplicates(spark, docs, texts):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    rng = random.Random(12)
+    x, y, z, w = (" ".join(sentence(rng, 60) for _ in range(2)) for _ in range(4))
+    rows = [(1, x), (5, x), (5, y), (5, y), (7, y), (9, y + " more"), (20, z), (20, w), (20, z), (30, z + " end"), (31, w + " end"), (40, w), (41, w + " end"), (50, "alone"), (50, None)]
+    rows += [(60, " ".join(sentence(rng, 30) for _ in range(2))) for _ in range(40)] + [(61, rows[-1][1])]
+    rows += [(62, rows[20][1] + " far"), (63, rows[30][1] + " off")]
+    sets = [shingle_set(t) for _, t in rows]
+    top = {i: i for i, _ in rows}
+    for _ in rows:
+        for (i, _), a in zip(rows, sets):
+            for (j, _), b in zip(rows, sets):
+                if a and 100 * len(a & b) >= 75 * len(a | b):
+                    top[i] = top[j] = min(top[i], top[j])
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got) == sorted((i, len(s), top[i], top[i] == i) for (i, _), s in zip(rows, sets))
+    assert top[9] == 1 and top[31] == 20 and top[41] == 20
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(1000, x) for x in range(1001, 1200)] + [(5, 5)]
     got = dict(graph.components(spark.createDataFrame(chain, "a bigint, b bigint")).collect())
