@@ -623,12 +623,12 @@ def scan_files(spark, folder):
 
 @query
 def json_arrays(spark, folder):
-    """Conversations written as files that hold one JSON array each, 64 conversations at most, and read back."""
+    """Conversations written as files that hold one JSON array each, 64 conversations by 64 turns at most, and read back."""
     path = new_folder(spark, "arrays") + ".json"
-    rows = feeds.conversation_rows(spark, folder).withColumn("part", F.floor(F.col("conv_id") / 64))
-    arrays = rows.groupBy("part").agg(F.to_json(F.collect_list(F.struct("conv_id", "turn", "conversation"))).alias("value"))
-    arrays.write.partitionBy("part").text(path)
-    back = files.read_records(spark, path, f"conv_id bigint, turn bigint, conversation {m.MESSAGES}, part bigint")
+    rows = feeds.conversation_rows(spark, folder).withColumns({"part": F.floor(F.col("conv_id") / 64), "span": F.floor(F.col("turn") / 64)})
+    arrays = rows.groupBy("part", "span").agg(F.to_json(F.collect_list(F.struct("conv_id", "turn", "conversation"))).alias("value"))
+    arrays.write.partitionBy("part", "span").text(path)
+    back = files.read_records(spark, path, f"conv_id bigint, turn bigint, conversation {m.MESSAGES}, part bigint, span bigint")
     r = files.require_columns(back, "conversation").select("conv_id", "turn", F.posexplode("conversation").alias("pos", "m"))
     return r.select("conv_id", "turn", big("pos").alias("pos"), "m.role", "m.content")
 

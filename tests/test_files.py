@@ -7,6 +7,7 @@ from qaloom.functions.messages import convert_format
 from qaloom.sources import files
 from qaloom.sources.tables import spread_small
 from qaloom.storage import materialize, settle, shared_folder
+from registry import queries
 
 
 def test_scan_documents(spark, tmp_path):
@@ -115,3 +116,13 @@ def test_shared_folder_and_spreading(spark):
     assert spread_small(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(10, numPartitions=64)
     assert spread_small(wide) is wide
+
+
+def test_arrays_of_a_long_conversation(spark, tmp_path, monkeypatch):
+    turns = [(c, t, role, f"{role} {c} {t}") for c, n in ((3, 400), (4, 2), (70, 2)) for t, role in ((t, ("user", "assistant")[t % 2]) for t in range(n))]
+    spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    monkeypatch.setattr(queries, "new_folder", lambda spark, name: str(tmp_path / name))
+    got = queries.json_arrays(spark, str(tmp_path)).collect()
+    assert sorted((r["conv_id"], r["turn"] + r["pos"], r["role"], r["content"]) for r in got) == sorted(turns)
+    arrays = [json.loads(f.read_text()) for f in (tmp_path / "arrays.json").rglob("*.txt")]
+    assert sum(map(len, arrays)) == 202 and max(map(len, arrays)) <= 33
