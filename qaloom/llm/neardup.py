@@ -1,4 +1,4 @@
-"""Near duplicates by bottom-k sketches: one hash function, inverted lists, union-sketch estimates, exact Jaccard.
+"""Near duplicates by bottom-k sketches: one hash function, inverted lists, counts of common sketch values, exact Jaccard.
 
 A document's sketch is its ``K`` smallest shingle hashes. Two documents at the threshold share about three quarters of
 the smallest ``K`` hashes of their union, and at least ``K`` minus ``SLACK`` fewer (five standard deviations) with all but
