@@ -115,5 +115,14 @@ WITH p AS (
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
     CASE WHEN first <> page_id THEN first END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)
+""",
+    "op11_exact_dedup": r"""
+WITH d AS (
+    SELECT doc_id, length(coalesce(text, '')) AS points,
+        sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+    row_number() OVER w = 1 AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST)
 """,
 }

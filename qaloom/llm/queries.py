@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from qaloom.storage import materialize
 
-from . import covertree, mixing, neardup, quality, reputation, sharding, suffixes, topk, warc
+from . import covertree, exact, mixing, neardup, quality, reputation, sharding, suffixes, topk, warc
 from .columns import table, word_count
 from .packing import packed_pieces
 
@@ -90,3 +90,8 @@ def op10_covertree(spark, folder):
 @query
 def op6_suffixes(spark, folder):
     return suffixes.remove_repeats(table(spark, folder, "documents")).drop("kept", "rest")
+
+
+@query
+def op11_exact_dedup(spark, folder):
+    return exact.mark(table(spark, folder, "documents"))
