@@ -124,5 +124,47 @@ WITH d AS (
 SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
     row_number() OVER w = 1 AS kept, text_sha256
 FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST)
+""",
+    "op13_merkle": """
+WITH RECURSIVE d AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS tree, n_chars,
+        [coalesce(octet_length(encode(CAST(x AS VARCHAR))) || ':' || x, '-') FOR x IN [CAST(doc_id AS VARCHAR), source, lang]] AS a,
+        coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS c,
+        coalesce(octet_length(encode(CAST(n_chars + 1 AS VARCHAR))) || ':' || (n_chars + 1), '-') AS c1,
+        coalesce(octet_length(encode(text)) || ':' || text, '-') AS t FROM documents
+), crc AS (
+    SELECT doc_id, list_reduce([CAST(4294967295 AS UBIGINT)] || list_transform(range(0, 8 * len(CAST(doc_id AS VARCHAR))), lambda i: CAST(
+        CASE WHEN i % 8 = 0 THEN 256 + ascii(CAST(doc_id AS VARCHAR)[CAST(i // 8 + 1 AS INT)]) ELSE 0 END AS UBIGINT)),
+        lambda s, x: CASE WHEN (xor(s, x & 255) & 1) = 1 THEN xor(xor(s, x & 255) >> 1, 3988292384) ELSE xor(s, x & 255) >> 1 END) AS crc FROM documents
+), leaves AS (
+    SELECT doc_id, tree, sha256(array_to_string(a, '') || c || t) AS leaf,
+        CASE WHEN xor(crc, 4294967295) % 7 = 0 THEN sha256(array_to_string(a, '') || c1 || t) ELSE sha256(array_to_string(a, '') || c || t) END AS used,
+        row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS total FROM d JOIN crc USING (doc_id)
+), nodes AS (
+    SELECT tree, 0 AS level, pos, total, leaf AS digest FROM leaves
+    UNION ALL
+    SELECT tree, level + 1, pos // 2, (any_value(total) + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE total > 1
+    GROUP BY tree, level, pos // 2
+), subroots AS (
+    SELECT tree, level AS height, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS total FROM nodes WHERE total = 1
+), tops AS (
+    SELECT 0 AS level, pos, total, subroot AS digest FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 2, (any_value(total) + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)) FROM tops WHERE total > 1 GROUP BY level, pos // 2
+), path AS (
+    SELECT doc_id, level, l.pos >> level AS at, digest FROM leaves l JOIN nodes n ON n.tree = l.tree AND n.pos = xor(l.pos >> level, 1)
+    UNION ALL
+    SELECT doc_id, height + level, s.pos >> level, digest FROM leaves l JOIN subroots s USING (tree) JOIN tops n ON n.pos = xor(s.pos >> level, 1)
+), proof AS (
+    SELECT doc_id, sha256(string_agg(digest, '' ORDER BY level)) AS proof_sha256 FROM path GROUP BY doc_id
+), folded AS (
+    SELECT doc_id, 0 AS level, height + (SELECT max(level) FROM tops) AS height, tree, l.pos, s.pos AS top, s.height AS turn, used AS digest FROM leaves l JOIN subroots s USING (tree)
+    UNION ALL
+    SELECT f.doc_id, f.level + 1, height, tree, pos, top, turn, sha256(CASE WHEN p.digest IS NULL THEN f.digest WHEN p.at % 2 = 1 THEN p.digest || f.digest ELSE f.digest || p.digest END)
+    FROM folded f LEFT JOIN path p ON p.doc_id = f.doc_id AND p.level = f.level WHERE f.level < height
+)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, f.digest AS folded_root, f.digest = root AS verified
+FROM leaves JOIN subroots USING (tree) JOIN folded f USING (doc_id) LEFT JOIN proof USING (doc_id), (SELECT digest AS root FROM tops WHERE total = 1)
+WHERE f.level = f.height
 """,
 }

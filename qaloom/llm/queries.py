@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from qaloom.storage import materialize
 
-from . import covertree, exact, mixing, neardup, quality, reputation, sharding, suffixes, topk, warc
+from . import covertree, exact, manifest, mixing, neardup, quality, reputation, sharding, suffixes, topk, warc
 from .columns import table, word_count
 from .packing import packed_pieces
 
@@ -95,3 +95,16 @@ def op6_suffixes(spark, folder):
 @query
 def op11_exact_dedup(spark, folder):
     return exact.mark(table(spark, folder, "documents"))
+
+
+@query
+def op13_merkle(spark, folder):
+    """Where 7 divides the CRC-32 of the id, the row that is verified has one character more than the manifest's."""
+    d = table(spark, folder, "documents")
+    first, text = [F.col("doc_id"), F.col("source"), F.col("lang")], F.col("text")
+    leaf = manifest.leaf(*first, F.col("n_chars"), text)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    changed = manifest.leaf(*first, F.col("n_chars").cast("decimal(20,0)") + 1, text)
+    check = F.when(tampered & F.col("n_chars").isNotNull(), changed).otherwise(leaf)
+    out = manifest.manifest(d, F.col("doc_id"), F.col("lang"), leaf, check).withColumnRenamed("id", "doc_id")
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
