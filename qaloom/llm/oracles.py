@@ -166,5 +166,52 @@ WITH RECURSIVE d AS (
 SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, f.digest AS folded_root, f.digest = root AS verified
 FROM leaves JOIN subroots USING (tree) JOIN folded f USING (doc_id) LEFT JOIN proof USING (doc_id), (SELECT digest AS root FROM tops WHERE total = 1)
 WHERE f.level = f.height
+""",
+    "op12_repair": r"""
+WITH RECURSIVE named AS (
+    SELECT *, coalesce('=' || conv_id, '') AS conv, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations
+), crc AS (
+    SELECT *, xor(list_reduce([CAST(4294967295 AS UBIGINT)] || list_transform(range(0, 8 * len(name)), lambda i: CAST(
+        CASE WHEN i % 8 = 0 THEN 256 + ascii(name[CAST(i // 8 + 1 AS INT)]) ELSE 0 END AS UBIGINT)),
+        lambda s, x: CASE WHEN (xor(s, x & 255) & 1) = 1 THEN xor(xor(s, x & 255) >> 1, 3988292384) ELSE xor(s, x & 255) >> 1 END), 4294967295) % 20 AS kind FROM named
+), damaged AS (
+    SELECT conv, turn, CASE WHEN kind = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text
+    FROM crc, range(2) AS r(n) WHERE n < CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END
+), ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos, role[1] AS c,
+        regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare FROM damaged
+), flags AS (
+    SELECT *, bare = '' AS blank, bare <> '' AND row_number() OVER (PARTITION BY conv, role, text ORDER BY pos) > 1 AS duplicate,
+        lag(c) OVER (PARTITION BY conv ORDER BY pos) || c AS pair, count(*) OVER (PARTITION BY conv) AS n FROM ordered
+), rows_ AS (
+    SELECT *, NOT blank AND NOT duplicate AND bare[-1] NOT IN ('.', '!', '?') AS truncated FROM flags
+), counts AS (
+    SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+        count(*) FILTER (truncated) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM rows_ GROUP BY conv
+), start AS (
+    SELECT DISTINCT conv, n FROM rows_
+), best AS (
+    SELECT conv, n AS i, [{'c': 0, 'a': '', 'r': ''}, {'c': 10, 'a': 'II', 'r': chr(10) || 'user:' || chr(10) || 'assistant:'}, {'c': 5, 'a': 'I', 'r': chr(10) || 'assistant:'}, {'c': 0, 'a': '', 'r': ''}] AS v FROM start
+    UNION ALL
+    SELECT conv, i - 1, list_transform([1, 2, 3, 4], lambda x: list_min([w[x], {'c': w[[3, 3, 4, 3][x]].c + 5, 'a': 'I' || w[[3, 3, 4, 3][x]].a, 'r': chr(10) || ['user:', 'user:', 'assistant:', 'user:'][x] || w[[3, 3, 4, 3][x]].r}]))
+    FROM (
+        SELECT conv, i, list_transform([1, 2, 3, 4], lambda x: list_min([u[x], {'c': u[[3, 3, 4, 3][x]].c + 5, 'a': 'I' || u[[3, 3, 4, 3][x]].a, 'r': chr(10) || ['user:', 'user:', 'assistant:', 'user:'][x] || u[[3, 3, 4, 3][x]].r}])) AS w
+        FROM (
+            SELECT b.conv, i, list_transform([1, 2, 3, 4], lambda x: list_min(list_concat([{'c': v[x].c + 2, 'a': 'D' || v[x].a, 'r': v[x].r}],
+                CASE WHEN blank OR duplicate THEN [] ELSE [{'c': v[[3, 3, 4, 3][x]].c + CASE WHEN truncated THEN 6 ELSE 1 END, 'a': 'R' || v[[3, 3, 4, 3][x]].a,
+                    'r': chr(10) || ['user:', 'user:', 'assistant:', 'user:'][x] || text || v[[3, 3, 4, 3][x]].r}] END,
+                CASE WHEN blank OR duplicate THEN [] WHEN c = 's' AND x = 1 THEN [{'c': v[2].c + CASE WHEN truncated THEN 5 ELSE 0 END, 'a': 'K' || v[2].a, 'r': chr(10) || role || ':' || text || v[2].r}]
+                    WHEN c = 'u' AND x <> 3 THEN [{'c': v[3].c + CASE WHEN truncated THEN 5 ELSE 0 END, 'a': 'K' || v[3].a, 'r': chr(10) || role || ':' || text || v[3].r}]
+                    WHEN c = 'a' AND x = 3 THEN [{'c': v[4].c + CASE WHEN truncated THEN 5 ELSE 0 END, 'a': 'K' || v[4].a, 'r': chr(10) || role || ':' || text || v[4].r}] ELSE [] END))) AS u
+            FROM best b JOIN rows_ r ON r.conv = b.conv AND r.pos = b.i
+        )
+    )
+), done AS (
+    SELECT conv, v[1].c AS cost, v[1].a AS audit, sha256(v[1].r[2:]) AS repaired_sha256 FROM best WHERE i = 0
+)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+    CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, conv FROM named) LEFT JOIN counts USING (conv) LEFT JOIN done USING (conv)
 """,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from qaloom.storage import materialize
 
-from . import covertree, exact, manifest, mixing, neardup, quality, reputation, sharding, suffixes, topk, warc
+from . import covertree, exact, manifest, mixing, neardup, quality, repair, reputation, sharding, suffixes, topk, warc
 from .columns import table, word_count
 from .packing import packed_pieces
 
@@ -97,6 +97,12 @@ def op11_exact_dedup(spark, folder):
     return exact.mark(table(spark, folder, "documents"))
 
 
+@query
+def op12_repair(spark, folder):
+    rows = table(spark, folder, "conversations").select(F.col("conv_id").alias("conv"), "turn", "role", "text")
+    return repair.repair(repair.damaged(rows), rows)
+
+
 @query
 def op13_merkle(spark, folder):
     """Where 7 divides the CRC-32 of the id, the row that is verified has one character more than the manifest's."""
