@@ -1,13 +1,14 @@
 """Token ids of whole texts by a public word-level BPE vocabulary, as pieces of a fixed length.
 
-The library encodes each word of a text by itself, so a word met before needs no second run: known words are joined from
-a bounded table of each Python worker, new ones go to the library in one batch. Texts with anything but plain Latin-1
-characters, or with a special token's name in them, go to the library whole.
+The vocabulary drops white space and never looks across it, so a text's ids are those of its chunks between white space.
+A chunk met before needs no second run: known ones are joined from a bounded table of each Python worker, new ones go to
+the library in one batch. Whether a vocabulary works like that is read from its file; texts of any other kind, and texts
+with separators that only Python takes for white space, go to the library whole.
 """
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -20,24 +21,37 @@ from pyspark.sql import functions as F
 
 from . import memory
 
-LETTER = "a-zªµºß-öø-ÿ"
-DIGIT = "0-9²³¹¼-¾"
-WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{DIGIT}]|[^\s\xa0\x85{LETTER}{DIGIT}]+").findall
-ODD = re.compile("[^\\t\\n\\x0b\\x0c\\r\\x20-\\x7e\\xa0-\\xff]|<\\|(?:start|end)oftext\\|>").search
-KNOWN = 400_000
+#: The steps before the vocabulary that never look across white space: a known form, compared with that of the file.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = {
+    "type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True,
+}
+KNOWN = 600_000
 LONG = 64
-#: Words of this Python worker: word -> ids as little-endian 32-bit numbers, under the vocabulary's path.
+#: A chunk between others when many are encoded as one text; it has one id, which no chunk without it can have.
+MARK = "^"
+TOGETHER = 1000
+#: Chunks of this Python worker: chunk -> ids as little-endian 32-bit numbers, under the vocabulary's path.
 _known: dict[str, dict[str, bytes]] = {}
 _tokenizers: dict = {}
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, piece_key bigint"
 
 
+def by_chunks(path: str) -> bool:
+    """Whether the file's vocabulary encodes each chunk between white space by itself."""
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+    first = (told.get("pre_tokenizer") or {}).get("pretokenizers") or [None]
+    specials = [x["content"] for x in told.get("added_tokens") or [] if x["lstrip"] or x["rstrip"] or x["single_word"] or x["content"].split() != [x["content"]]]
+    return (told.get("normalizer") or {}).get("normalizers") == NORMALIZERS and first[0] == SPLIT and not specials and not told.get("post_processor")
+
+
 def _tokenizer(path: str):
     if path not in _tokenizers:
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = Tokenizer.from_file(path)
+        _tokenizers[path] = Tokenizer.from_file(path), by_chunks(path)
     return _tokenizers[path]
 
 
@@ -45,33 +59,64 @@ def _raw(ids) -> bytes:
     return np.asarray(ids, "<u4").tobytes()
 
 
+def _core(chunk: str) -> tuple[str, str]:
+    """A chunk as a word, in lower case where that is plain, and one mark that ends it, which is a word of its own."""
+    tail = ""
+    if chunk[-1] in ".,;:!?" and len(chunk) > 1 and chunk[-2].lower().isalnum():
+        chunk, tail = chunk[:-1], chunk[-1]
+    return chunk.lower() if chunk.isascii() else chunk, tail
+
+
+def _learn(chunks: set[str], tokenizer, known: dict[str, bytes]) -> dict[str, bytes]:
+    """Ids of new chunks and their words; many words are encoded in one text with marks between them."""
+    parts = {w: (w, "") if len(w) > LONG else _core(w) for w in chunks}
+    words = {x for p in parts.values() for x in p if x and x not in known}
+    short = [w for w in words if len(w) <= LONG and MARK not in w]
+    mark = tokenizer.encode(MARK, add_special_tokens=False).ids
+    out: dict[str, bytes] = {}
+    for at in range(0, len(short) if len(mark) == 1 else 0, TOGETHER):
+        some = short[at : at + TOGETHER]
+        (one,) = tokenizer.encode_batch_fast([f" {MARK} ".join(some)], add_special_tokens=False)
+        ids = np.asarray(one.ids, "<u4")
+        ends = [*np.flatnonzero(ids == mark[0]).tolist(), len(ids)]
+        if len(ends) == len(some):
+            raw, start = ids.tobytes(), 0
+            for word, end in zip(some, ends):
+                out[word] = raw[4 * start : 4 * end]
+                start = end + 1
+    for word in words - out.keys():
+        out[word] = _raw(tokenizer.encode(word, add_special_tokens=False).ids)
+    for chunk, (core, tail) in parts.items():
+        if chunk not in out:
+            ids = out[core] if core in out else known[core]
+            out[chunk] = ids + (out[tail] if tail in out else known[tail]) if tail else ids
+    return out
+
+
 def encode(texts: list[str], path: str) -> list[bytes]:
     """The ids of each text as little-endian unsigned 32-bit numbers."""
-    tokenizer, known = _tokenizer(path), _known.setdefault(path, {})
-    split: list[list[str] | None] = [None if ODD(x) else WORDS(x.lower()) for x in texts]
+    (tokenizer, chunked), known = _tokenizer(path), _known.setdefault(path, {})
+    ids = known.__getitem__
+    out: list[bytes] = []
+    late: list[tuple[int, list[str]]] = []
     new: set[str] = set()
-    for words in split:
-        if words:
-            new.update(words)
-    new.difference_update(known)
-    order = [w for w in new if len(w) <= LONG]
-    extra = {}
-    for at in range(0, len(order), 20_000):
-        part = order[at : at + 20_000]
-        for word, one in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-            extra[word] = _raw(one.ids)
-    for word in new:
-        if len(word) > LONG:
-            extra[word] = _raw(tokenizer.encode(word, add_special_tokens=False).ids)
-    known.update(extra)
-    out = []
-    for text, words in zip(texts, split):
-        if words is None:
+    for text in texts:
+        if not chunked or "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
             out.append(_raw(tokenizer.encode(text, add_special_tokens=False).ids))
-        else:
-            out.append(b"".join(map(known.__getitem__, words)))
-    for word in extra if len(known) > KNOWN else [w for w in extra if len(w) > LONG]:
-        del known[word]
+            continue
+        chunks = text.split()
+        try:
+            out.append(b"".join(map(ids, chunks)))
+        except KeyError:
+            new.update(chunks)
+            late.append((len(out), chunks))
+            out.append(b"")
+    learnt = _learn({w for w in new if w not in known}, tokenizer, known)
+    known.update(learnt)
+    for n, chunks in late:
+        out[n] = b"".join(map(ids, chunks))
+    for chunk in learnt if len(known) > KNOWN else [w for w in learnt if len(w) > LONG]:
+        del known[chunk]
     return out
 
 

@@ -244,7 +244,12 @@ def test_tokens_and_packing(spark, docs, texts):
     path = public_tokenizers.path("word_bpe_49k.json")
     plain = Tokenizer.from_file(path)
     odd = [t or "" for t in texts] + ["<|endoftext|> a", "Don'T we'Ll ''s'x ½²", "İi Σς\x85", "x" * 300, "日本 テ"]
+    odd += ["a\x1cb \x1f", "a\x85b\xa0c\u2003d\u3000e\u2028f", "e\u0301 \u0301e", "A<|startoftext|>b <|END|>", "\x00\x07 \x7f", "ſ K Å İstanbul ǅ", "x\u200by \ufeffz"]
     assert tokens.encode(odd, path) == [np.asarray(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in odd]
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    whole = Tokenizer.from_file(other)
+    assert tokens.by_chunks(path) and not tokens.by_chunks(other)
+    assert tokens.encode(odd, other) == [np.asarray(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in odd]
     rows = packing.packed_pieces(docs, path, 256).collect()
     bins = {}
     for r in rows:
