@@ -331,3 +331,31 @@ def test_pivots_of_labels():
     for part in (batch, batch.slice(1)):
         (got,) = covertree._assign(iter([part]))
         assert got.column("cell").to_pylist() == [1, 2, 1, 0][-part.num_rows :]
+
+
+def test_vectors_of_many_tiles(spark, monkeypatch):
+    for name, value in (("CELL", 64), ("TILE", 1), ("FAN", 2)):
+        monkeypatch.setattr(covertree, name, value)
+    rng = np.random.default_rng(10)
+    base = rng.normal(size=(30, 6))
+    rows = [(n, (base[n % 30] + rng.normal(scale=0.08, size=6)).tolist(), int(n % 30 > 20)) for n in range(1500)] + [(n, [float(n), 1.0], 2) for n in range(40)]
+    out = covertree.near_duplicates(spark.createDataFrame(rows, "id bigint, vector array<double>, label int")).collect()
+    assert {r["id"]: (r["n_links"], r["component"], r["kept"]) for r in out} == linked_vectors(rows) and len(out) == len(rows)
+    heads = [("a", n, [float(10 * (n // 4)), float(n)], 1.0) for n in range(64)]
+    pairs = covertree._descended(spark.createDataFrame(heads, "label string, pos bigint, center array<double>, radius double"), 0.5).collect()
+    want = {(i, j) for i in range(64) for j in range(i, 64) if np.hypot(10 * (i // 4) - 10 * (j // 4), i - j) <= 2.5}
+    assert {(r["a"], r["b"]) for r in pairs} == want and len(pairs) == len(want)
+
+
+def test_cover_tree_prunes():
+    rng = np.random.default_rng(11)
+    x = np.repeat(rng.normal(size=(20, 8)), 100, axis=0) + rng.normal(scale=1e-3, size=(2000, 8))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    tree = covertree.Tree(x)
+    assert sorted(tree.order.tolist()) == list(range(2000)) and len(tree.nodes) > 20
+    met = [(p, q) for p, q in covertree.dual(tree, tree, 0.05)]
+    assert sum(len(p) * len(q) for p, q in met) < 2000 * 2000 / 8
+    seen = {frozenset((int(i), int(j))) for p, q in met for i in p for j in q}
+    assert all(frozenset((int(i), int(j))) in seen for i, j in zip(*np.nonzero(np.linalg.norm(x[:, None] - x, axis=2) <= 0.05)))
+    other = covertree.Tree(x, tree.nodes, tree.order)
+    assert [(p.tolist(), q.tolist()) for p, q in covertree.dual(other, other, 0.05)] == [(p.tolist(), q.tolist()) for p, q in met]
