@@ -111,15 +111,14 @@ def step_candidates(source: Column) -> Column:
         find_all(source, C.STEP_CANDIDATE), lambda s: F.regexp_replace(strip(s), r"(?U)\s+", " ")
     )
     lines = F.filter(lines, lambda s: F.length(s) >= 10)
-    return let(
-        F.transform(lines, lambda s: F.struct(s.alias("line"), F.lower(s).alias("low"))),
-        lambda rows: let(
-            F.transform(rows, lambda r: r["low"]),
-            lambda low: F.transform(
-                F.filter(rows, lambda r, i: F.array_position(low, r["low"]) == i + 1), lambda r: r["line"]
-            ),
-        ),
-    )
+    spelled = F.array_sort(F.transform(lines, lambda s, i: F.struct(F.lower(s).alias("low"), i.alias("at"), s.alias("line"))))
+
+    def first(rows: Column) -> Column:
+        """Of rows sorted by spelling, the first of each, in the order of the text."""
+        own = F.filter(rows, lambda r, i: (i == 0) | (F.get(rows, i - 1)["low"] != r["low"]))
+        return F.transform(F.array_sort(F.transform(own, lambda r: F.struct(r["at"].alias("at"), r["line"].alias("line")))), lambda r: r["line"])
+
+    return let(spelled, first)
 
 
 def source_steps(source: Column) -> Column:

@@ -13,6 +13,28 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def scan(items: Column, start: Column, step, kind: str, block: int = 256) -> Column:
+    """Walk an array with a state: ``step(state, item)`` gives the next state and an output.
+
+    Returns a struct of the last ``state`` and ``out``, the outputs that are not null, an array of ``kind``. Outputs are
+    gathered in blocks, as an array that grows by one item at a time would be copied as often.
+    """
+    none = F.array().cast(f"array<{kind}>")
+    count = F.ceil(F.size(items) / block).cast("int")
+    starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+
+    def one(acc: Column, item: Column) -> Column:
+        state, out = step(acc["state"], item)
+        return let(out, lambda o: F.struct(state.alias("state"), F.when(o.isNull(), acc["out"]).otherwise(F.array_append(acc["out"], o)).alias("out")))
+
+    def many(acc: Column, at: Column) -> Column:
+        part = F.aggregate(F.slice(items, at * block + 1, F.lit(block)), F.struct(acc["state"].alias("state"), none.alias("out")), one)
+        return let(part, lambda p: F.struct(p["state"].alias("state"), F.array_append(acc["out"], p["out"]).alias("out")))
+
+    begin = F.struct(start.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+    return F.aggregate(starts, begin, many, lambda acc: F.struct(acc["state"].alias("state"), F.flatten(acc["out"]).alias("out")))
+
+
 # --- small regex helpers ------------------------------------------------------
 def sub(text: Column, pattern: str, replacement: str = "") -> Column:
     return F.regexp_replace(text, F.lit(pattern), F.lit(replacement))
@@ -132,17 +154,13 @@ def expand_inline_bullets(text: Column) -> Column:
 def number_bullets(text: Column) -> Column:
     """Number the bullets 1..n when there are bullets and no numbered line."""
     lines = F.transform(F.split(text, "\n"), lambda x: sub(x, r"(?U)\s+\z"))
-    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("out"))
 
-    def step(acc: Column, line: Column) -> Column:
+    def step(n: Column, line: Column) -> tuple[Column, Column]:
         bullet = line.rlike(C.BULLET_LINE)
-        n = acc["n"] + F.when(bullet, 1).otherwise(0)
-        numbered = F.concat(n.cast("string"), F.lit(". "), sub(line, C.BULLET_LINE))
-        return F.struct(
-            n.alias("n"), F.array_append(acc["out"], F.when(bullet, numbered).otherwise(line)).alias("out")
-        )
+        numbered = F.concat((n + 1).cast("string"), F.lit(". "), sub(line, C.BULLET_LINE))
+        return n + F.when(bullet, 1).otherwise(0), F.when(bullet, numbered).otherwise(line)
 
-    folded = F.aggregate(lines, start, step, lambda acc: F.array_join(acc["out"], "\n"))
+    folded = let(lines, lambda own: F.array_join(scan(own, F.lit(0), step, "string")["out"], "\n"))
     wanted = text.rlike("(?m)" + C.BULLET_LINE.replace(r"\A", "^")) & ~F.exists(lines, lambda x: x.rlike(C.NUMBERED_LINE))
     return F.when(wanted & F.exists(lines, lambda x: x.rlike(C.BULLET_LINE)), folded).otherwise(text)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions.text import clean_block, let, strip
+from ..functions.text import clean_block, let, scan, strip
 from ..rules import Rules
 
 HIDDEN = r"(?is)<!--.*?-->|<!doctype[^>]*>|<head\b.*?</head\s*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
@@ -23,7 +23,7 @@ TAG = r"</?[a-zA-Z][^>]*>"
 PIECE = r"(?:\x01([^\x02]*)\x02|^)([^\x01]*)"
 ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
 
-BODY = "array<struct<headings:string,text:string>>"
+BODY = "struct<headings:string,text:string>"
 
 
 def named_entities() -> str:
@@ -76,21 +76,15 @@ def html_elements(html: Column) -> Column:
 
 def under_headings(elements: Column) -> Column:
     """Body elements with the headings above them joined as ``h1 > h2 > ...``."""
-    start = F.struct(
-        F.array_repeat(F.lit(None).cast("string"), 6).alias("path"), F.array().cast(BODY).alias("out")
-    )
-
-    def step(acc: Column, e: Column) -> Column:
+    def step(path: Column, e: Column) -> tuple[Column, Column]:
         heading = e["tag"].startswith("h")
         level = F.substring(e["tag"], 2, 1).try_cast("int") - 1
-        moved = F.transform(acc["path"], lambda p, i: F.when(i < level, p).when(i == level, e["text"]))
-        body = F.struct(F.array_join(acc["path"], " > ").alias("headings"), e["text"].alias("text"))
-        return F.struct(
-            F.when(heading, moved).otherwise(acc["path"]).alias("path"),
-            F.when(heading, acc["out"]).otherwise(F.array_append(acc["out"], body)).alias("out"),
-        )
+        moved = F.transform(path, lambda p, i: F.when(i < level, p).when(i == level, e["text"]))
+        body = F.struct(F.array_join(path, " > ").alias("headings"), e["text"].alias("text"))
+        return F.when(heading, moved).otherwise(path), F.when(~heading, body)
 
-    return F.aggregate(elements, start, step, lambda acc: acc["out"])
+    start = F.array_repeat(F.lit(None).cast("string"), 6)
+    return let(elements, lambda own: scan(own, start, step, BODY)["out"])
 
 
 def budget_chunks(body: Column, tokens: int = 1000) -> Column:
@@ -106,27 +100,19 @@ def budget_chunks(body: Column, tokens: int = 1000) -> Column:
             ),
         )
 
-    start = F.struct(
-        F.array().cast(BODY).alias("out"), F.lit(None).cast("struct<headings:string,text:string>").alias("open")
-    )
-
-    def step(acc: Column, b: Column) -> Column:
-        joined = F.concat_ws("\n", acc["open"]["text"], b["text"])
-        together = F.length(acc["open"]["text"]) + 1 + F.length(b["text"])
-        fits = (acc["open"]["headings"] == b["headings"]) & (together <= size)
+    def step(open_: Column, b: Column) -> tuple[Column, Column]:
+        joined = F.concat_ws("\n", open_["text"], b["text"])
+        together = F.length(open_["text"]) + 1 + F.length(b["text"])
+        fits = F.coalesce((open_["headings"] == b["headings"]) & (together <= size), F.lit(False))
         merged = F.struct(b["headings"].alias("headings"), joined.alias("text"))
-        flushed = F.when(acc["open"].isNull(), acc["out"]).otherwise(F.array_append(acc["out"], acc["open"]))
-        fits = F.coalesce(fits, F.lit(False))
-        return F.struct(
-            F.when(fits, acc["out"]).otherwise(flushed).alias("out"), F.when(fits, merged).otherwise(b).alias("open")
-        )
+        return F.when(fits, merged).otherwise(b), F.when(~fits, open_)
 
-    return F.aggregate(
-        F.flatten(F.transform(body, pieces)),
-        start,
-        step,
-        lambda acc: F.when(acc["open"].isNull(), acc["out"]).otherwise(F.array_append(acc["out"], acc["open"])),
-    )
+    return let(F.flatten(F.transform(body, pieces)), lambda own: let(scan(own, F.lit(None).cast(BODY), step, BODY), _with_last))
+
+
+def _with_last(done: Column) -> Column:
+    """The outputs of a walk and what its state still holds."""
+    return F.when(done["state"].isNull(), done["out"]).otherwise(F.array_append(done["out"], done["state"]))
 
 
 def html_chunks(pages: DataFrame, doc: str, html: str = "html", rules: Rules = Rules()) -> DataFrame:
@@ -176,43 +162,29 @@ def similarity_chunks(text: Column, rules: Rules = Rules()) -> Column:
     Second pass: neighbouring chunks merge when they are similar enough and fit together.
     """
     limit = rules.max_chunk_chars
-    start = F.struct(
-        F.array().cast("array<string>").alias("out"),
-        F.lit(None).cast("string").alias("chunk"),
-        F.lit(None).cast("string").alias("tail"),
-        F.lit(0).alias("n"),
-    )
+    start = F.lit(None).cast("struct<chunk:string,tail:string,n:int>")
 
-    def grow(acc: Column, s: Column) -> Column:
+    def grow(acc: Column, s: Column) -> tuple[Column, Column]:
         needed = F.when(acc["n"] == 1, rules.initial_threshold).otherwise(rules.appending_threshold)
         joins = F.coalesce(
             (F.length(acc["chunk"]) + F.length(s) + 1 <= limit) & (_similarity(acc["tail"], s) >= needed), F.lit(False)
         )
-        closed = F.when(acc["chunk"].isNull(), acc["out"]).otherwise(F.array_append(acc["out"], acc["chunk"]))
         last = F.when(acc["n"] == 1, acc["chunk"]).otherwise(F.element_at(F.split(acc["tail"], "\n"), -1))
-        return F.struct(
-            F.when(joins, acc["out"]).otherwise(closed).alias("out"),
-            F.when(joins, F.concat_ws(" ", acc["chunk"], s)).otherwise(s).alias("chunk"),
-            F.when(joins, F.concat_ws("\n", last, s)).otherwise(s).alias("tail"),
-            F.when(joins, acc["n"] + 1).otherwise(1).alias("n"),
+        grown = F.struct(
+            F.concat_ws(" ", acc["chunk"], s).alias("chunk"), F.concat_ws("\n", last, s).alias("tail"), (acc["n"] + 1).alias("n")
         )
+        fresh = F.struct(s.alias("chunk"), s.alias("tail"), F.lit(1).alias("n"))
+        return F.when(joins, grown).otherwise(fresh), F.when(~joins, acc["chunk"])
 
-    def finish(acc: Column) -> Column:
-        return F.when(acc["chunk"].isNull(), acc["out"]).otherwise(F.array_append(acc["out"], acc["chunk"]))
-
-    first = F.aggregate(sentence_split(text), start, grow, finish)
-    begin = F.struct(F.array().cast("array<string>").alias("out"), F.lit(None).cast("string").alias("chunk"))
-
-    def merge(acc: Column, c: Column) -> Column:
+    def merge(acc: Column, c: Column) -> tuple[Column, Column]:
         joins = F.coalesce(
-            (F.length(acc["chunk"]) + F.length(c) + 1 <= limit)
-            & (_similarity(acc["chunk"], c) >= rules.merging_threshold),
-            F.lit(False),
-        )
-        closed = F.when(acc["chunk"].isNull(), acc["out"]).otherwise(F.array_append(acc["out"], acc["chunk"]))
-        return F.struct(
-            F.when(joins, acc["out"]).otherwise(closed).alias("out"),
-            F.when(joins, F.concat_ws(" ", acc["chunk"], c)).otherwise(c).alias("chunk"),
+            (F.length(acc) + F.length(c) + 1 <= limit) & (_similarity(acc, c) >= rules.merging_threshold), F.lit(False)
         )
+        return F.when(joins, F.concat_ws(" ", acc, c)).otherwise(c), F.when(~joins, acc)
+
+    def finish(done: Column) -> Column:
+        last = done["state"]["chunk"]
+        return F.when(last.isNull(), done["out"]).otherwise(F.array_append(done["out"], last))
 
-    return F.aggregate(first, begin, merge, finish)
+    first = let(sentence_split(text), lambda own: let(scan(own, start, grow, "string"), finish))
+    return let(first, lambda own: let(scan(own, F.lit(None).cast("string"), merge, "string"), _with_last))
