@@ -6,18 +6,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from .text import count_of, find_all, let, renumber, split_lines, step_count, strip, word_count
+from .text import count_of, find_all, let, renumber, split_lines, step_count, strip, sub, word_count
 
 PAIRS = "array<struct<question:string,ans:string>>"
 
 
 # --- parsing ------------------------------------------------------------------
 def pairs_from_text(raw: Column, strict: bool = False) -> Column:
+    """Marked pairs of a text; one pass of the pattern sets marks around both groups, which are cut apart there."""
     pattern = C.QA_BLOCK_STRICT if strict else C.QA_BLOCK
+    parts = F.split(sub(raw, pattern, "\x01$1\x02$2\x03"), "\x01")
+
+    def pair(part: Column) -> Column:
+        both = F.substring_index(part, "\x03", 1)
+        return F.struct(F.substring_index(both, "\x02", 1).alias("question"), F.substring_index(both, "\x02", -1).alias("ans"))
+
+    cut = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), pair)
+    # a text that has such marks itself is read by its groups
     zipped = F.arrays_zip(
         find_all(raw, pattern, 1).alias("question"), find_all(raw, pattern, 2).alias("ans")
     )
-    return zipped.cast(PAIRS)
+    return F.when(raw.rlike("[\x01-\x03]"), zipped.cast(PAIRS)).otherwise(cut.cast(PAIRS))
 
 
 def pairs_from_json(raw: Column) -> Column:
@@ -31,17 +40,20 @@ def parse_pairs(raw: Column, strict: bool = False) -> Column:
     return F.when(F.size(parsed) > 0, parsed).otherwise(pairs_from_text(raw, strict))
 
 
-def completion_score(raw: Column, pairs: Column) -> Column:
+def completion_score(raw: Column, pairs: Column, ui_token: str = C.UI_TOKEN) -> Column:
     """Reward pairs, steps (up to six per answer) and interface words; punish vague wording."""
-    steps = F.aggregate(
-        pairs, F.lit(0), lambda acc, p: acc + F.least(F.coalesce(step_count(p["ans"]), F.lit(0)), F.lit(6))
-    )
-    return (
-        F.lit(2.0) * F.size(pairs)
-        + F.lit(0.30) * steps
-        + F.lit(0.15) * count_of(raw, C.UI_TOKEN)
-        - F.lit(1.0) * count_of(F.lower(raw), C.VAGUE_SCORE_WORDS)
-    )
+    def rated(own: Column) -> Column:
+        steps = F.aggregate(
+            own, F.lit(0), lambda acc, p: acc + F.least(F.coalesce(step_count(p["ans"]), F.lit(0)), F.lit(6))
+        )
+        return (
+            F.lit(2.0) * F.size(own)
+            + F.lit(0.30) * steps
+            + F.lit(0.15) * count_of(raw, ui_token)
+            - F.lit(1.0) * count_of(F.lower(raw), C.VAGUE_SCORE_WORDS)
+        )
+
+    return let(pairs, rated)
 
 
 # --- add / remove split -------------------------------------------------------

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.qa import completion_score, parse_pairs
 from ..functions.text import approx_tokens, clip_tokens, format_prompt, let, strip
 from ..rules import Rules
+from ..storage import materialize
 
 #: rows of one document that one window partition may hold
 BLOCK_ROWS = 4096
@@ -96,14 +97,18 @@ def with_prompt(windows: DataFrame, template: str, rules: Rules = Rules()) -> Da
 def best_completion(completions: DataFrame, keys: list[str], rules: Rules = Rules()) -> DataFrame:
     """The completion with the highest score per window, the earliest on ties.
 
-    The window key is spread by construction (few candidates each) and ``max_by`` combines
-    before the shuffle.
+    Candidates are scored in one pass and ranked as numbers, which each task does first by itself; whole texts meet only
+    the numbers of the winners. ``cand_idx`` is unique in a window; null keys are windows like others.
     """
     raw = F.col("raw_text")
-    scored = completions.withColumn("score", completion_score(raw, parse_pairs(raw, rules.strict_markers)))
+    scored = completions.select(*keys, "cand_idx", completion_score(raw, parse_pairs(raw, rules.strict_markers), rules.ui_token).alias("score"))
     rank = F.struct("score", (-F.col("cand_idx")).alias("early"))
-    best = F.max_by(F.struct("cand_idx", "score", "raw_text"), rank)
-    return scored.groupBy(*keys).agg(best.alias("b")).select(*keys, "b.cand_idx", "b.score", "b.raw_text")
+    best = scored.groupBy(*keys).agg(F.max(rank).alias("b"))
+    best = materialize(best.select(*[F.col(k).alias(f"_{k}") for k in keys], (-F.col("b.early")).alias("_cand"), F.col("b.score").alias("score")), "best")
+    own = F.col("cand_idx") == F.col("_cand")
+    for k in keys:
+        own = own & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return completions.join(best, own).select(*keys, "cand_idx", "score", "raw_text")
 
 
 def extract_pairs(completions: DataFrame, rules: Rules = Rules()) -> DataFrame:

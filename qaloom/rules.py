@@ -56,4 +56,14 @@ class Rules:
     button_hints: tuple = tuple(C.BUTTON_HINTS)
     vague_phrases: tuple = tuple(C.VAGUE_PHRASES)
     success_tail: str = C.SUCCESS_TAIL
+    question_intents: tuple = tuple(C.QUESTION_INTENTS)
+    answer_intents: tuple = tuple(C.ANSWER_INTENTS)
+    default_intent: str = C.DEFAULT_INTENT
+    error_state: str = C.ERROR_STATE
+    ui_areas: tuple = tuple(C.UI_AREAS)
+    default_ui_area: str = C.DEFAULT_UI_AREA
+    #: what reads like the interface, and verbs that make a single step clear enough
+    ui_token: str = C.UI_TOKEN
+    single_step_verb: str = C.SINGLE_STEP_VERB
+    element_categories: tuple = tuple(C.ELEMENT_CATEGORIES)
     corrections: dict = field(default_factory=lambda: dict(C.ANSWER_CORRECTIONS))

@@ -17,40 +17,51 @@ def template_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "tpl_id bigint, raw_text string, c1 string, c2 string, c3 string")
 
 
-def _filled(docs: DataFrame, spark: SparkSession) -> DataFrame:
-    """Documents joined with the template of ``tpl_id`` (a fixed table of 40 rows), fields filled in."""
+def flat(text):
+    """A whole text as one line."""
+    return F.trim(F.regexp_replace(text, r"[\x00-\x20]+", " "))
+
+
+def _parts(docs: DataFrame) -> DataFrame:
+    """What the shapes are filled with, once per document."""
     lines = F.filter(F.split("text", "\n"), lambda x: x != "")
-    phrase = F.array_join(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0)), " ")
-    parts = docs.select(
+    line = flat(F.col("text"))
+    return docs.select(
         "*",
-        phrase.alias("_w"),
+        line.alias("_w"),
+        F.replace(F.replace(line, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')).alias("_j"),
         F.array_join(F.transform(lines, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". Open "), x)), "\n").alias("_s"),
         F.array_join(F.transform(lines, lambda x: F.concat(F.lit("Open "), x)), "\n").alias("_l"),
     )
-    joined = parts.join(F.broadcast(template_table(spark)), "tpl_id")
 
+
+def _filled(parts: DataFrame, spark: SparkSession) -> DataFrame:
+    """Parts joined with the shape of ``tpl_id`` (a fixed table of 40 rows), fields filled in."""
     def fill(c: str):
-        out = F.replace(F.col(c), F.lit("{W}"), F.col("_w"))
-        out = F.replace(out, F.lit("{T}"), F.col("text"))
-        out = F.replace(out, F.lit("{S}"), F.col("_s"))
-        return F.replace(out, F.lit("{L}"), F.col("_l")).alias(c)
+        out = F.col(c)
+        for name, value in (("{W}", "_w"), ("{J}", "_j"), ("{T}", "text"), ("{S}", "_s"), ("{L}", "_l")):
+            out = F.replace(out, F.lit(name), F.col(value))
+        return out.alias(c)
 
-    return joined.select(*[c for c in docs.columns if c != "text"], fill("raw_text"), fill("c1"), fill("c2"), fill("c3"))
+    joined = parts.join(F.broadcast(template_table(spark)), "tpl_id")
+    kept = [c for c in parts.columns if c not in ("text", "_w", "_j", "_s", "_l")]
+    return joined.select(*kept, fill("raw_text"), fill("c1"), fill("c2"), fill("c3"))
 
 
 def completions(spark: SparkSession, folder: str) -> DataFrame:
     """One completion per document: doc_id, raw_text, c1, c2, c3, src_after, src_next."""
     docs = read_table(spark, folder, "documents").select("doc_id", "text", (F.col("doc_id") % N).alias("tpl_id"))
-    return _filled(docs, spark).drop("tpl_id").withColumns(
+    return _filled(_parts(docs), spark).drop("tpl_id").withColumns(
         {"src_after": F.substring("c2", 1, 1200), "src_next": F.substring("c3", 1, 1800)}
     )
 
 
 def candidates(spark: SparkSession, folder: str) -> DataFrame:
     """Five candidate completions per document: doc_id, cand_idx, raw_text."""
-    docs = read_table(spark, folder, "documents").select("doc_id", "text", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("cand_idx"))
-    docs = docs.withColumn("tpl_id", (F.col("doc_id") + F.col("cand_idx") * 7) % N)
-    return _filled(docs, spark).select("doc_id", "cand_idx", "raw_text")
+    docs = _parts(read_table(spark, folder, "documents").select("doc_id", "text"))
+    each = docs.withColumn("cand_idx", F.explode(F.sequence(F.lit(0), F.lit(4))))
+    each = each.withColumn("tpl_id", (F.col("doc_id") + F.col("cand_idx") * 7) % N)
+    return _filled(each, spark).select("doc_id", "cand_idx", "raw_text")
 
 
 def line_chunks(spark: SparkSession, folder: str, lines: int = 2) -> DataFrame:

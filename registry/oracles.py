@@ -43,7 +43,7 @@ add(
 )
 add(
     "repair_placeholders",
-    f"WITH m AS (SELECT doc_id, regexp_replace(text, '[^\\x00-\\x7f]', 'z', 'g') AS text FROM documents), n AS (SELECT doc_id, text, upper(text) AS context, '1. Click . now' || {NL} || '2. ' || text || {NL} || '3. Press button' AS a FROM m) "
+    f"WITH n AS (SELECT doc_id, text, translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS context, '1. Click . now' || {NL} || '2. ' || text || {NL} || '3. Press button' AS a FROM documents) "
     f"SELECT doc_id, {S.repaired('a', 'text')} AS plain, md5({S.repaired('a', 'context')}) AS loud FROM n",
 )
 
@@ -239,9 +239,8 @@ add(
 
 
 def replies() -> str:
-    found = S.every("lower(text)", "[a-z]{3,}")
     return (
-        f"w AS (SELECT doc_id, text, array_to_string({found}, ' ') AS w, array_to_string({found}, ' ') AS a FROM documents), "
+        f"w AS (SELECT doc_id, text, {S.flat('text')} AS w, {S.flat('text')} AS a FROM documents), "
         "replies AS (SELECT doc_id, w, a, CASE doc_id % 3 WHEN 0 THEN 'Q1: Steps to open the page of ' WHEN 1 THEN 'Q1: List all the pages of ' ELSE 'Q1: Why ' END "
         f"|| w || '?' || {NL} || 'q2. Describe in short how to reach ' || CASE WHEN doc_id % 2 = 0 THEN w ELSE '' END || {NL} || "
         f"'Q3: In which way can I open the page of ' || w || '? ' || {NL} || text AS raw_text FROM w), "
@@ -258,6 +257,19 @@ add(
     f"CASE WHEN {S.hit('a', C.ERROR_STATE)} THEN 'error_or_validation' ELSE 'happy_path' END AS state, "
     f"{S.first_rule('a', C.UI_AREAS, C.DEFAULT_UI_AREA)} AS ui_area FROM l",
 )
+own = {
+    "asked": ([("\\bopen\\b", "open"), ("\\bpage\\b", "page")], "lower(q)"), "intent": ([("\\bsubmit\\b", "send"), ("\\bopen\\b", "open")], "lower(a)"),
+    "ui_area": ([("\\bform\\b", "form"), ("\\bpage\\b", "page")], "lower(a)"),
+}
+shared = f"len(list_intersect({S.every('lower(q)', C.KEYWORD)}, {S.every('lower(a)', C.KEYWORD)}))"
+add(
+    "replaced_rules",
+    f"WITH {S.pairs()}, l AS (SELECT doc_id, match_idx, pr.question AS q, pr.ans AS a FROM pairs) SELECT doc_id, match_idx, "
+    + ", ".join(f"{S.first_rule(x, rules, 'none' if name == 'ui_area' else 'other')} AS {name}" for name, (rules, x) in own.items())
+    + f", CASE WHEN {S.hit('lower(a)', '\\bclose\\b')} THEN 'error_or_validation' ELSE 'happy_path' END AS state, "
+    f"({S.any_hit('a', C.VAGUE_PHRASES)} AND NOT {S.hit('a', 'form|entry')}) OR ({S.count('a', C.STEP_NUMBER_SPACE)} = 1 AND NOT {S.hit('a', '\\blook\\b')}) AS vague, "
+    f"{shared} < CASE WHEN {S.hit('a', 'form|entry')} THEN 1 ELSE 2 END AS misaligned FROM l",
+)
 add(
     "tag_counts",
     f"WITH {S.pairs()}, l AS (SELECT lower(pr.ans) AS a FROM pairs), g AS ("
@@ -552,7 +564,10 @@ add(
 )
 add(
     "scan_files",
-    f"SELECT page_id, strlen(html) + 1 AS length, md5(html || {NL}) AS content, page_id % 3 = 1 AS deep FROM pages WHERE page_id % 3 <> 2",
+    "WITH p AS (SELECT page_id, html, coalesce(page_id, 0) % 3 AS kind, coalesce(page_id // 256, -1) AS block FROM pages), "
+    """l AS (SELECT *, CASE WHEN kind <> 2 THEN coalesce(html, '') WHEN html IS NULL THEN '{}' ELSE '{"html":' || to_json(html) || '}' END AS line FROM p) """
+    f"SELECT block, CASE WHEN kind = 2 THEN 'json' ELSE 'txt' END AS ending, kind = 1 AS deep, CAST(sum(strlen(line) + 1) AS BIGINT) AS length, "
+    f"md5(string_agg(line || {NL}, '' ORDER BY page_id)) AS content FROM l GROUP BY kind, block",
 )
 add("json_arrays", ORACLES["jsonl_roundtrip"])
 add("batched_rows", "SELECT doc_id, length(text) AS letters FROM documents")

@@ -93,7 +93,8 @@ def rework_steps(spark, folder):
 @query
 def repair_placeholders(spark, folder):
     """Placeholders filled from labels seen in the text of the document."""
-    d = read_table(spark, folder, "documents").select("doc_id", F.upper(F.regexp_replace("text", "[^\\x00-\\x7f]", "z")).alias("context"), F.regexp_replace("text", "[^\\x00-\\x7f]", "z").alias("text"))
+    low = "abcdefghijklmnopqrstuvwxyz"
+    d = read_table(spark, folder, "documents").select("doc_id", F.translate("text", low, low.upper()).alias("context"), "text")
     answer = F.concat(F.lit("1. Click . now\n2. "), F.col("text"), F.lit("\n3. Press button"))
     return d.select(
         "doc_id",
@@ -252,9 +253,8 @@ def continuation(spark, folder):
 
 
 def _replies(spark, folder) -> DataFrame:
-    """Paraphrase replies with the words of every document: doc_id, raw_text."""
-    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0))
-    w = F.array_join(words, " ")
+    """Paraphrase replies with the whole text of every document: doc_id, raw_text."""
+    w = feeds.flat(F.col("text"))
     text = F.concat(
         F.when(F.col("doc_id") % 3 == 0, "Q1: Steps to open the page of ").when(F.col("doc_id") % 3 == 1, "Q1: List all the pages of ").otherwise("Q1: Why "),
         w, F.lit("?\nq2. Describe in short how to reach "), F.when(F.col("doc_id") % 2 == 0, w).otherwise(""),
@@ -282,6 +282,24 @@ def coverage_tags(spark, folder):
     )
 
 
+@query
+def replaced_rules(spark, folder):
+    """Tags and checks of all pairs by rule lists that the user gives in place of the own ones."""
+    rules = Rules(
+        question_intents=((r"\bopen\b", "open"), (r"\bpage\b", "page")), answer_intents=((r"\bsubmit\b", "send"), (r"\bopen\b", "open")),
+        default_intent="other", error_state=r"\bclose\b", ui_areas=((r"\bform\b", "form"), (r"\bpage\b", "page")), default_ui_area="none",
+        ui_token=r"form|entry", single_step_verb=r"\blook\b",
+    )
+    p = windows.extract_pairs(feeds.completions(spark, folder), rules)
+    q, a = F.col("q_raw"), F.col("a_raw")
+    return p.select(
+        "doc_id", big("match_idx").alias("match_idx"), tags.question_intent(q, rules.question_intents, rules.default_intent).alias("asked"),
+        tags.answer_intent(a, rules.answer_intents, rules.default_intent).alias("intent"), tags.state(a, rules.error_state).alias("state"),
+        tags.ui_area(a, rules.ui_areas, rules.default_ui_area).alias("ui_area"),
+        v.is_too_vague(a, rules.vague_phrases, rules.ui_token, rules.single_step_verb).alias("vague"), v.is_misaligned(q, a, rules.ui_token).alias("misaligned"),
+    )
+
+
 @query
 def tag_counts(spark, folder):
     p = windows.extract_pairs(feeds.completions(spark, folder))
@@ -610,15 +628,25 @@ def generate_completions(spark, folder):
 
 @query
 def scan_files(spark, folder):
-    """Pages written as one file each, in two depths and two endings, then listed and read by their ending."""
+    """Pages written as files of 256 numbers each, in two depths and two endings, then listed and read whole by their ending."""
     root = new_folder(spark, "files")
-    pages = read_table(spark, folder, "pages").select("html", F.col("page_id").alias("page"))
-    pages.filter("page % 3 = 0").write.partitionBy("page").text(f"{root}/near")
-    pages.filter("page % 3 = 1").write.partitionBy("page").text(f"{root}/far/and/deep")
-    pages.filter("page % 3 = 2").write.partitionBy("page").json(f"{root}/other")
-    found = files.scan_documents(spark, root, (".TXT",))
-    page = F.regexp_extract("doc_path", r"/page=(\d+)/", 1).cast("bigint")
-    return found.select(page.alias("page_id"), "length", F.md5("content").alias("content"), F.contains("doc_path", F.lit("/deep/")).alias("deep"))
+    kind = F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(3))
+    block = F.coalesce(F.floor(F.col("page_id") / 256), F.lit(-1))
+    pages = read_table(spark, folder, "pages").select("page_id", "html", kind.alias("kind"), block.alias("block"))
+
+    def files_of(n: int):
+        own = pages.filter(F.col("kind") == n).repartition("block").sortWithinPartitions("block", "page_id")
+        return own.select("html", "block").write.partitionBy("block")
+
+    files_of(0).text(f"{root}/near")
+    files_of(1).text(f"{root}/far/and/deep")
+    files_of(2).json(f"{root}/other")
+    found = files.scan_documents(spark, root, (".TXT", ".Json"))
+    path = F.col("doc_path")
+    return found.select(
+        F.regexp_extract(path, r"/block=(-?\d+)/", 1).cast("bigint").alias("block"), F.regexp_extract(path, r"\.(\w+)$", 1).alias("ending"),
+        F.contains(path, F.lit("/deep/")).alias("deep"), "length", F.md5("content").alias("content"),
+    )
 
 
 @query

@@ -122,6 +122,8 @@ def number_gap(x: str) -> str:
 
 
 def repaired(a: str, context: str) -> str:
+    # a word's edge is one of ASCII here, so letters beyond it become a plain one while labels are looked for
+    context = f"regexp_replace({context}, '[^\\x00-\\x7f\\p{{P}}\\p{{S}}\\p{{Z}}\\p{{C}}]', 'z', 'g')"
     known = ", ".join(f"CASE WHEN {hit(context, rf'(?i){chr(92)}b{b}{chr(92)}b')} THEN '{b}' END" for b in C.BUTTON_HINTS)
     runs = every("t", "[A-Z]+|[^A-Z]+")
     title = f"array_to_string(list_transform({runs}, lambda r: r[1] || lower(r[2:])), '')"
@@ -187,14 +189,18 @@ def template_values() -> str:
     return f"tpl(tpl_id, raw_text, c1, c2, c3) AS (VALUES {rows})"
 
 
+def flat(text: str) -> str:
+    return f"trim(regexp_replace({text}, '[\\x00-\\x20]+', ' ', 'g'))"
+
+
 def filled(docs: str, keys: str) -> str:
     def fill(c: str) -> str:
-        return f"replace(replace(replace(replace({c}, '{{W}}', w), '{{T}}', text), '{{S}}', s), '{{L}}', l) AS {c}"
+        return f"replace(replace(replace(replace(replace({c}, '{{W}}', w), '{{J}}', j), '{{T}}', text), '{{S}}', s), '{{L}}', l) AS {c}"
 
     kept = f"list_filter({lines('text')}, lambda x: x <> '')"
     return (
         f"{template_values()}, parts AS (SELECT *, "
-        f"array_to_string({every('lower(text)', '[a-z]{3,}')}, ' ') AS w, "
+        f"{flat('text')} AS w, replace(replace({flat('text')}, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"') AS j, "
         f"{join(f'list_transform({kept}, lambda x, i: i || {lit('. Open ')} || x)')} AS s, "
         f"{join(f'list_transform({kept}, lambda x: {lit('Open ')} || x)')} AS l FROM ({docs})), "
         f"filled AS (SELECT {keys}, {', '.join(fill(c) for c in ('raw_text', 'c1', 'c2', 'c3'))} FROM parts JOIN tpl USING (tpl_id))"

@@ -1,6 +1,6 @@
-"""Shapes of model completions, filled with the words and lines of every document.
+"""Shapes of model completions, filled with the whole text and the lines of every document.
 
-{W} all words of the document, {T} its whole text, {S} all its lines as numbered steps,
+{W} the text as one line, {J} the same inside a JSON string, {T} its whole text, {S} all its lines as numbered steps,
 {L} all its lines as plain step sentences. Columns: completion, c1, c2, c3.
 """
 
@@ -9,7 +9,7 @@ GOOD = (
     "1. Go to the {W} group page\n2. Click [Add] to create the {W} group\n"
     "3. Enter the name of the {W} group\n4. Click [Save] to keep the {W} group"
 )
-JGOOD = GOOD.replace("\n", "\\n")
+JGOOD = GOOD.replace("\n", "\\n").replace("{W}", "{J}")
 LONG = (
     "1. Open the yearly budget overview from the main navigation menu on the left side\n"
     "2. Choose every department whose figures belong into the final summary table below\n"
@@ -19,10 +19,10 @@ LONG = (
 
 TEMPLATES = [
     ("Q: How do I create a {W} group?\nA:\n" + GOOD, STEPS, "More about {W}.", ""),
-    ('[{"question": "How do I create the {W} group?", "ans": "' + JGOOD + '"}]', STEPS, "More about {W}.", ""),
-    ('[{"question": "How do I create one {W} group?", "ans": "' + JGOOD + '"}, '
-     '{"question": "What about {W}?", "ans": "Make the necessary changes to {W}."}]', STEPS, "", ""),
-    ('[{"question": "How do I add {W}?", "ans": ', STEPS, "", ""),
+    ('[{"question": "How do I create the {J} group?", "ans": "' + JGOOD + '"}]', STEPS, "More about {W}.", ""),
+    ('[{"question": "How do I create one {J} group?", "ans": "' + JGOOD + '"}, '
+     '{"question": "What about {J}?", "ans": "Make the necessary changes to {J}."}]', STEPS, "", ""),
+    ('[{"question": "How do I add {J}?", "ans": ', STEPS, "", ""),
     ("Q1: How do I create some {W} group?\nA1:\n" + GOOD + "\n\nQ2: How do I search the {W} listing?\n"
      "A2:\n1. Open the {W} listing of the tool\n2. Search the {W} listing by name", "", "", ""),
     ("Q: How do I open {W}?\nA: ***\n. .\nclick .", "", "", ""),
@@ -57,7 +57,7 @@ TEMPLATES = [
     ("Q: What does the page about {W} say?\nA: {T}", "{T}", "{T}", ""),
     ("Q: How do I go through {W} to open the document?\nA:\n{S}", "{L}", "", ""),
     ("Q: How do I see few {W} types?\nA:\n1. Open the {W} types of the tool\n2.\n3. Search few {W} types by name", "", "", "{L}"),
-    ("Q: How do I export the report list?\nA:\n1. Open the report list of the tool\n2. Submit the export of the report list", "", "", ""),
+    ("Q: How do I export the {W} report list?\nA:\n1. Open the {W} report list of the tool\n2. Submit the export of the {W} report list", "", "", ""),
     ("Q: How do I open the monthly summary report page with customer account list inside our web application using browser after login {W}?\n"
      "A:\n1. Open the monthly report page {W} first\n2. Submit the account list {W} afterwards", "", "", ""),
     ("Q: How do I submit a {W} budget overview comparison?\nA:\n" + LONG, "", "", ""),
