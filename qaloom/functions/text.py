@@ -17,11 +17,11 @@ def scan(items: Column, start: Column, step, kind: str, block: int = 256) -> Col
     """Walk an array with a state: ``step(state, item)`` gives the next state and an output.
 
     Returns a struct of the last ``state`` and ``out``, the outputs that are not null, an array of ``kind``. Outputs are
-    gathered in blocks, as an array that grows by one item at a time would be copied as often.
+    gathered in blocks, as an array that grows by one item at a time would be copied as often. A null array gives null.
     """
     none = F.array().cast(f"array<{kind}>")
     count = F.ceil(F.size(items) / block).cast("int")
-    starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).when(items.isNotNull(), F.array().cast("array<int>"))
 
     def one(acc: Column, item: Column) -> Column:
         state, out = step(acc["state"], item)
