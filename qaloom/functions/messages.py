@@ -105,7 +105,10 @@ def with_messages(df: DataFrame) -> DataFrame:
 
 
 # --- chat text ----------------------------------------------------------------
-def _header(current_date: str | Column, think: bool | str | None) -> Column:
+DEVELOPER = "<|start|>developer<|message|>\n\n# Instructions\n\n"
+
+
+def chat_header(current_date: str | Column, think: bool | str | None) -> Column:
     date = F.lit(current_date) if isinstance(current_date, str) else current_date
     if isinstance(think, str) and think:
         level = f"\n\nReasoning: {think}"
@@ -118,6 +121,62 @@ def _header(current_date: str | Column, think: bool | str | None) -> Column:
     )
 
 
+def has(text: Column) -> Column:
+    return F.coalesce(F.length(text) > 0, F.lit(False))
+
+
+def text_of(value: Column) -> Column:
+    return F.coalesce(value, F.lit(""))
+
+
+def turn_text(m: Column, i: Column, f: Column, fields: tuple = (), close_earlier: bool = False) -> Column:
+    """Chat text of message ``m`` at place ``i``; a system message has none.
+
+    ``f`` tells of the conversation: its ``size``, whether its end is left ``open`` after content or after a thought
+    alone (``musing``), and the place of its last ``user`` message, -1 without one.
+    """
+
+    def closing(is_open: Column) -> Column:
+        stays_open = is_open & (i == f["size"] - 1) if close_earlier else is_open
+        return F.when(stays_open, "").otherwise("<|end|>")
+
+    def builtin(name: Column) -> Column:
+        return name.isin(C.BUILTIN_TOOLS)
+
+    def call(c: Column) -> Column:
+        where = F.when(builtin(c["name"]), "analysis to=").otherwise("commentary to=functions.")
+        return F.concat(
+            F.lit("<|start|>assistant<|channel|>"), where, c["name"],
+            F.lit(" <|constrain|>json<|message|>"), c["arguments"], F.lit("<|call|>"),
+        )
+
+    parts = []
+    if "thinking" in fields:
+        shown = F.concat(F.lit("<|start|>assistant<|channel|>analysis<|message|>"), m["thinking"], closing(f["musing"]))
+        parts.append(F.when(has(m["thinking"]) & (i > f["user"]), shown).otherwise(""))
+    said = F.concat(F.lit("<|start|>assistant<|channel|>final<|message|>"), m["content"], closing(f["open"]))
+    parts.append(F.when(has(m["content"]), said).otherwise(""))
+    if "tool_calls" in fields:
+        parts.append(text_of(F.array_join(F.transform(m["tool_calls"], call), "")))
+    shown = F.when(
+        m["role"] == "user", F.concat(F.lit("<|start|>user<|message|>"), text_of(m["content"]), F.lit("<|end|>"))
+    ).when(m["role"] == "assistant", F.concat(*parts))
+    if "tool_name" in fields:
+        name = F.concat(F.when(builtin(m["tool_name"]), "").otherwise("functions."), m["tool_name"])
+        shown = shown.when(
+            m["role"] == "tool",
+            F.concat(F.lit("<|start|>"), name, F.lit(" to=assistant<|message|>"), text_of(m["content"]), F.lit("<|end|>")),
+        )
+    return shown.otherwise("")
+
+
+def left_open(last: Column, fields: tuple = ()) -> tuple[Column, Column]:
+    """Whether a conversation that ends with ``last`` is left open after its content, or after its thought alone."""
+    own = F.coalesce(last["role"] == "assistant", F.lit(False))
+    thought = has(last["thinking"]) if "thinking" in fields else F.lit(False)
+    return own & has(last["content"]), own & ~has(last["content"]) & thought
+
+
 def render_chat(
     messages: Column,
     current_date: str | Column,
@@ -132,75 +191,18 @@ def render_chat(
     message stays open as a prefill. The template then leaves *every* assistant message open;
     ``close_earlier`` closes all but the last.
     """
-
-    def has(text: Column) -> Column:
-        return F.coalesce(F.length(text) > 0, F.lit(False))
-
-    def text_of(value: Column) -> Column:
-        return F.coalesce(value, F.lit(""))
-
     size = F.size(messages)
-    last = F.get(messages, size - 1)
-    thinking_only = F.lit(False)
-    open_content = (last["role"] == "assistant") & has(last["content"])
-    if "thinking" in fields:
-        thinking_only = (last["role"] == "assistant") & ~has(last["content"]) & has(last["thinking"])
+    open_content, thinking_only = left_open(F.get(messages, size - 1), fields)
     last_user = F.array_max(F.transform(messages, lambda m, i: F.when(m["role"] == "user", i).otherwise(-1)))
     flags = F.struct(size.alias("size"), open_content.alias("open"), thinking_only.alias("musing"), last_user.alias("user"))
     system = F.array_join(
         F.transform(F.filter(messages, lambda m: m["role"] == "system"), lambda m: text_of(m["content"])), "\n\n"
     )
-
-    def closing(is_open: Column, i: Column, size: Column) -> Column:
-        stays_open = is_open & (i == size - 1) if close_earlier else is_open
-        return F.when(stays_open, "").otherwise("<|end|>")
-
-    def builtin(name: Column) -> Column:
-        return name.isin(C.BUILTIN_TOOLS)
-
-    def call(c: Column) -> Column:
-        where = F.when(builtin(c["name"]), "analysis to=").otherwise("commentary to=functions.")
-        return F.concat(
-            F.lit("<|start|>assistant<|channel|>"), where, c["name"],
-            F.lit(" <|constrain|>json<|message|>"), c["arguments"], F.lit("<|call|>"),
-        )
-
-    def assistant(m: Column, i: Column, f: Column) -> Column:
-        parts = []
-        if "thinking" in fields:
-            shown = F.concat(
-                F.lit("<|start|>assistant<|channel|>analysis<|message|>"), m["thinking"], closing(f["musing"], i, f["size"])
-            )
-            parts.append(F.when(has(m["thinking"]) & (i > f["user"]), shown).otherwise(""))
-        said = F.concat(
-            F.lit("<|start|>assistant<|channel|>final<|message|>"), m["content"], closing(f["open"], i, f["size"])
-        )
-        parts.append(F.when(has(m["content"]), said).otherwise(""))
-        if "tool_calls" in fields:
-            parts.append(text_of(F.array_join(F.transform(m["tool_calls"], call), "")))
-        return F.concat(*parts)
-
-    def turn(m: Column, i: Column, f: Column) -> Column:
-        shown = F.when(
-            m["role"] == "user", F.concat(F.lit("<|start|>user<|message|>"), text_of(m["content"]), F.lit("<|end|>"))
-        ).when(m["role"] == "assistant", assistant(m, i, f))
-        if "tool_name" in fields:
-            name = F.concat(F.when(builtin(m["tool_name"]), "").otherwise("functions."), m["tool_name"])
-            shown = shown.when(
-                m["role"] == "tool",
-                F.concat(
-                    F.lit("<|start|>"), name, F.lit(" to=assistant<|message|>"), text_of(m["content"]), F.lit("<|end|>")
-                ),
-            )
-        return shown.otherwise("")
-
-    developer = F.when(
-        has(system), F.concat(F.lit("<|start|>developer<|message|>\n\n# Instructions\n\n"), system, F.lit("<|end|>"))
-    ).otherwise("")
+    developer = F.when(has(system), F.concat(F.lit(DEVELOPER), system, F.lit("<|end|>"))).otherwise("")
     return F.concat(
-        _header(current_date, think),
+        chat_header(current_date, think),
         developer,
-        let(flags, lambda f: F.array_join(F.transform(messages, lambda m, i: turn(m, i, f)), "")),
+        let(flags, lambda f: F.array_join(F.transform(messages, lambda m, i: turn_text(m, i, f, fields, close_earlier)), "")),
         F.when(open_content | thinking_only, "").otherwise("<|start|>assistant"),
     )
 

@@ -479,6 +479,21 @@ add(
     f"WITH {EXCHANGES} SELECT conv_id, turn, {header('medium')} || CASE WHEN coalesce(system, '') <> '' THEN {developer('system')} ELSE '' END || {USER} || "
     f"CASE WHEN coalesce(answer, '') <> '' THEN {FINAL} answer ELSE '<|start|>assistant' END AS text FROM ex",
 )
+SAID = "'<|start|>assistant<|channel|>{0}<|message|>' || {1} || CASE WHEN {2} AND pos = total - 1 THEN '' ELSE '<|end|>' END"
+add(
+    "render_conversations",
+    "WITH t AS (SELECT *, role = 'assistant' AND turn % 3 = 0 AS thinks, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY conv_id) AS total "
+    "FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY role = 'system', turn)), "
+    "c AS (SELECT conv_id, max(turn) FILTER (role = 'user') AS asked, arg_max(role = 'assistant' AND text <> '', turn) AS open, "
+    "arg_max(thinks AND text = '', turn) AS musing, string_agg(text, chr(10) || chr(10) ORDER BY turn) FILTER (role = 'system') AS instruction FROM t GROUP BY conv_id), "
+    "b AS (SELECT conv_id, turn, pos, total - (SELECT count(*) FROM conversations s WHERE s.conv_id = t.conv_id AND s.role = 'system') AS total, role, text, thinks FROM t WHERE role <> 'system'), "
+    "p AS (SELECT conv_id, turn, CASE role WHEN 'user' THEN '<|start|>user<|message|>' || text || '<|end|>' WHEN 'assistant' THEN "
+    f"CASE WHEN thinks AND turn > coalesce(asked, -1) THEN {SAID.format('analysis', chr(39) + 'Thought of turn ' + chr(39) + ' || turn', 'musing')} ELSE '' END || "
+    f"CASE WHEN text <> '' THEN {SAID.format('final', 'text', 'open')} ELSE '' END ELSE '' END AS piece FROM b JOIN c USING (conv_id)), "
+    "j AS (SELECT conv_id, string_agg(piece, '' ORDER BY turn) AS body FROM p GROUP BY conv_id) "
+    f"SELECT conv_id, 0::BIGINT AS part, 1::BIGINT AS parts, {header('medium')} || CASE WHEN coalesce(instruction, '') <> '' THEN {developer('instruction')} ELSE '' END || "
+    "coalesce(body, '') || CASE WHEN open OR musing THEN '' ELSE '<|start|>assistant' END AS text FROM c LEFT JOIN j USING (conv_id)",
+)
 add(
     "render_prompt",
     f"WITH {EXCHANGES} SELECT conv_id, turn, {header('medium')} || {developer(lit(C.SYSTEM_TEXT))} || {USER} || '<|start|>assistant' AS text FROM ex",

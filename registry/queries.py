@@ -14,7 +14,7 @@ from qaloom.functions import messages as m
 from qaloom.functions import qa, tags
 from qaloom.functions import text as t
 from qaloom.functions import validators as v
-from qaloom.operators import blocks, dedup, sampling, stats, windows
+from qaloom.operators import blocks, dedup, rendering, sampling, stats, windows
 from qaloom.operators.dedup import Similarity
 from qaloom.plans import dataset
 from qaloom.plans.validate import clean_pairs, split_pairs
@@ -467,6 +467,14 @@ def render_chat(spark, folder):
     return c.select("conv_id", "turn", m.render_chat(F.col("conversation"), DATE).alias("text"))
 
 
+@query
+def render_conversations(spark, folder):
+    """Whole conversations, with a thought on every third turn of the assistant."""
+    thought = F.when((F.col("role") == "assistant") & (F.col("turn") % 3 == 0), F.concat(F.lit("Thought of turn "), F.col("turn")))
+    turns = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", F.col("text").alias("content"), thought.alias("thinking"))
+    return rendering.render_conversations(turns, "conv_id", "turn", DATE, ("thinking",), close_earlier=True)
+
+
 @query
 def render_prompt(spark, folder):
     e = feeds.exchanges(spark, folder)
