@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Callable
 
 import pandas as pd
@@ -23,6 +25,7 @@ from qaloom.sources.tables import read_table
 from qaloom.storage import new_folder
 
 from . import feeds
+from .templates import TEMPLATES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -720,3 +723,53 @@ def dataset_splits(spark, folder):
 def dataset_drops(spark, folder):
     """Drop reasons of the whole flow, dedup included."""
     return _flow(spark, folder)[1]
+
+
+def _author(prompts: pd.Series) -> pd.Series:
+    """A stand-in for a language model: one of the shapes, filled with the first text of the prompt; fails for some prompts."""
+    if any(zlib.crc32(p.encode()) % 13 == 0 for p in prompts):
+        raise RuntimeError("the model is out of reach")
+
+    def write(prompt: str) -> str:
+        text = prompt.split("First text:\n", 1)[1].split("\n\nSecond text:\n", 1)[0]
+        line, rows = re.sub(r"[\x00-\x20]+", " ", text).strip(), [x for x in text.split("\n") if x]
+        fields = {
+            "{W}": line, "{J}": line.replace("\\", "\\\\").replace('"', '\\"'), "{T}": text,
+            "{S}": "\n".join(f"{n}. Open {x}" for n, x in enumerate(rows, 1)), "{L}": "\n".join(f"Open {x}" for x in rows),
+        }
+        shape = TEMPLATES[zlib.crc32(text.encode()) % len(TEMPLATES)][0]
+        return re.sub("|".join(map(re.escape, fields)), lambda f: fields[f.group()], shape)
+
+    return prompts.map(write)
+
+
+def _rephrase(prompts: pd.Series) -> pd.Series:
+    """A stand-in that gives back the question itself, the question in other words, or nothing of use."""
+
+    def write(prompt: str) -> str:
+        q = prompt.split("\n\n", 1)[1].strip()
+        return (f"Q1: {q}", f"Q1: And in other words than before, {q}", "No idea.")[zlib.crc32(q.encode()) % 3]
+
+    return prompts.map(write)
+
+
+def _pages_flow(spark, folder):
+    pages = read_table(spark, folder, "pages").select("page_id", "html")
+    return dataset.dataset_from_pages(pages, "page_id", "html", _author, _rephrase)
+
+
+@query
+def pages_dataset(spark, folder):
+    """Every record of the flow from pages: its place, copy, split (by question with its paraphrases) and texts."""
+    built, _ = _pages_flow(spark, folder)
+    at = F.from_json("record_id", "doc_path string, window_index int, match_idx int, split_idx int, para_idx int")
+    content = lambda i: F.get("messages", F.lit(i))["content"]
+    return built.select(
+        at.alias("r"), big("copy_no").alias("copy_no"), "split", content(1).alias("user"), F.md5(content(2)).alias("assistant"), "meta.intent", "meta.state", "meta.ui_area",
+    ).select("r.*", "copy_no", "split", "user", "assistant", "intent", "state", "ui_area")
+
+
+@query
+def pages_drops(spark, folder):
+    """Drop reasons of the flow from pages, those of paraphrases included."""
+    return _pages_flow(spark, folder)[1]
