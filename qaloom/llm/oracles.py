@@ -58,10 +58,10 @@ WITH parts AS (
         CASE WHEN url LIKE '%://%' THEN regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) ELSE '' END AS path
     FROM pages
 ), lab AS (
-    SELECT p.host, CAST(l.quality = 0 OR l.toxic = 1 AS INT) AS bad FROM labels l JOIN parts p ON p.page_id = l.doc_id
+    SELECT p.host, CAST(l.quality = 0 OR l.toxic = 1 AS INT) AS bad FROM parts p LEFT JOIN labels l ON p.page_id = l.doc_id
 ), h AS (
-    SELECT host, count(*) AS n, sum(bad) AS bad, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS b
-    FROM lab WHERE bad IS NOT NULL GROUP BY host
+    SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS b
+    FROM lab GROUP BY host
 ), h2 AS (
     SELECT host, n, bad, regexp_matches(b, '^[0-9.]+$|^\[') AS num, b, string_split(b, '.') AS l FROM h
 ), h3 AS (
@@ -76,7 +76,7 @@ WITH parts AS (
 ), s2 AS (
     SELECT round(1.0 / CASE WHEN c = 0 THEN 0.5 ELSE least(0.999, greatest(0.001, a / c)) END - 1, 6) AS k FROM s1
 ), s AS (
-    SELECT suffix, (bad + k * m) / (n + k) AS m FROM s0, s2
+    SELECT suffix, (bad + k * m) / (n + k) AS m FROM s0, s2 WHERE n > 0
 ), d0 AS (
     SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad, any_value(m) AS m FROM hosts JOIN s USING (suffix) GROUP BY suffix, domain
 ), d1 AS (
