@@ -65,7 +65,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality", good_quality), ("near_copies", no_near_copies), ("repeats", no_repeats), ("mix", mixed_sources), ("pack", packed),
 ]
-#: The classifier, the sketches and the packing are beyond SQL. Tests hold the operators against brute force; no test runs the stages.
+#: The classifier, the sketches and the packing are beyond SQL; tests hold each stage against a plain version.
 ORACLE_SQL = None
 
 
