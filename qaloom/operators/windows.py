@@ -111,6 +111,15 @@ def best_completion(completions: DataFrame, keys: list[str], rules: Rules = Rule
     return completions.join(best, own).select(*keys, "cand_idx", "score", "raw_text")
 
 
+def best_of_list(raw_texts: Column, rules: Rules = Rules()) -> Column:
+    """The text with the highest score of an array, the earliest on ties; null if there is none. Equal texts are scored once."""
+    def rated(raw: Column, i: Column) -> Column:
+        score = completion_score(raw, parse_pairs(raw, rules.strict_markers), rules.ui_token)
+        return F.struct(score.alias("score"), (-i).alias("early"), raw.alias("raw_text"))
+
+    return F.array_max(F.transform(F.array_distinct(raw_texts), rated))["raw_text"]
+
+
 def extract_pairs(completions: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """One row per pair of a completion, with its position ``match_idx``."""
     pairs = parse_pairs(F.col("raw_text"), rules.strict_markers)

@@ -66,3 +66,14 @@ def test_chunk_lines(spark):
     df = spark.createDataFrame([("a", "1\n2\n3\n4\n5"), ("b", "")], "d string, text string")
     got = sorted((r["d"], r["chunk_idx"], r["text"]) for r in windows.chunk_lines(df, "d", "text", 2).collect())
     assert got == [("a", 0, "1\n2"), ("a", 1, "3\n4"), ("a", 2, "5"), ("b", 0, "")]
+
+
+def test_best_of_list_is_the_best_completion(spark):
+    body = "1. Open the {0} page of the tool\n2. Choose the {0} entry\n3. Submit the {0} form"
+    raws = ["nothing", "Q: How?\nA:\n" + body.format("a"), '[{"question": "How?", "ans": "see it"}]', "", "Q: How?\nA:\n" + body.format("b"), "Q: What?\nA: click [OK] or so"]
+    rows = [(n, c, raws[(n * k + c) % len(raws)]) for n, k in enumerate([1, 2, 3, 4, 5]) for c in range(5)]
+    df = spark.createDataFrame(rows, "w int, cand_idx int, raw_text string")
+    want = {r["w"]: r["raw_text"] for r in windows.best_completion(df, ["w"]).collect()}
+    lists = [(n, [x for m, _, x in rows if m == n]) for n in range(5)] + [(8, []), (9, None)]
+    own = spark.createDataFrame(lists, "w int, raws array<string>").select("w", windows.best_of_list(F.col("raws")).alias("t"))
+    assert {r["w"]: r["t"] for r in own.collect()} == {**want, 8: None, 9: None}
