@@ -128,6 +128,59 @@ def test_near_duplicates_of_repeated_ids(spark):
     assert top[9] == 1 and top[31] == 20 and top[41] == 20
 
 
+def test_near_duplicates_of_wide_families(spark, monkeypatch):
+    """A ring of passages, one large group of near copies, a hub of a common passage, and a chain, with units of few documents."""
+    rng = random.Random(13)
+    passage = [" ".join(f"p{i}w{j}" for j in range(12)) for i in range(150)]
+    texts = [f"{passage[i]} {passage[(i + 1) % 150]}" for i in range(150)]
+    base = sentence(rng, 90).split()
+    texts += [" ".join(w if at != i % 90 else f"copy{i}" for at, w in enumerate(base)) for i in range(200)]
+    texts += [" ".join(w if at not in (i, 40 + i, 80) else f"far{i}" for at, w in enumerate(base)) for i in range(30)]
+    texts += [" ".join(base[:9]) + " " + " ".join(f"c{j}" for j in range(i, i + 30)) for i in range(0, 150, 2)]
+    rng.shuffle(texts)
+    sets = [shingle_set(t) for t in texts]
+    top = list(range(len(texts)))
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if 4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j])]
+    while any(top[i] != top[j] for i, j in pairs):
+        for i, j in pairs:
+            top[i] = top[j] = min(top[i], top[j])
+    sizes = []
+
+    def seen(df, name="step", write=neardup.materialize):
+        out = write(df, name)
+        if name == "units":
+            sizes.extend(r["count"] for r in out.groupBy("x", "i", "j").count().collect())
+        return out
+
+    monkeypatch.setattr(neardup, "UNIT", 64)
+    monkeypatch.setattr(neardup, "materialize", seen)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(rows).collect()}
+    assert [got[i] for i in range(len(texts))] == top and len(set(top)) > 100
+    assert max(sizes) <= 2 * 64 and sum(sizes) < 20 * len(texts)
+    # A few long texts fill a unit as well as many short ones.
+    monkeypatch.setattr(neardup, "SHINGLES", 2000)
+    sizes.clear()
+    assert {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(rows).collect()} == got
+    assert max(sizes) < 64
+
+
+def test_union_sketch():
+    rng = np.random.default_rng(14)
+    sets = [np.unique(rng.integers(0, 400, rng.integers(1, 200)).astype(np.uint64)) for _ in range(40)]
+    for k in (5, 64):
+        size = np.array([min(k, len(x)) for x in sets])
+        low = np.full((40, k), np.iinfo(np.uint64).max, np.uint64)
+        for row, s in zip(low, sets):
+            row[: min(k, len(s))] = s[:k]
+        for p in range(40):
+            both, of = neardup.shared_of_union(low, size, p, np.arange(40))
+            for q in range(40):
+                union = np.union1d(sets[p], sets[q])[:k]
+                assert of[q] == len(union) and both[q] == len(np.intersect1d(np.intersect1d(sets[p], sets[q]), union))
+        assert neardup.common_of(sets, 3, np.arange(40)).tolist() == [len(np.intersect1d(sets[3], s)) for s in sets]
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(1000, x) for x in range(1001, 1200)] + [(5, 5)]
     got = dict(graph.components(spark.createDataFrame(chain, "a bigint, b bigint")).collect())
