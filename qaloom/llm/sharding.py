@@ -63,12 +63,14 @@ def shuffle_to_shards(rows: DataFrame, shards: int = 16, seed: int = 11) -> Data
     part, row, at, line, rnd, bin_, base = fresh(rows, "part", "row", "at", "line", "rnd", "bin", "base")
     names = rows.columns
     kept = materialize(rows, "shards")
-    kept = kept.select(*names, F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("bigint").alias(part), F.col("_metadata.row_index").alias(row))
+    # The whole name but for the run's random part: a task may write several files, told apart by the number at the end.
+    file = F.regexp_replace(F.col("_metadata.file_name"), "[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", "")
+    kept = kept.select(*names, file.alias(part), F.col("_metadata.row_index").alias(row))
     counts = sorted((r[0], r[1]) for r in kept.groupBy(part).count().collect())
     total = sum(n for _, n in counts)
     matrix = communication_matrix([n for _, n in counts], shards, seed)
     bounds = [(p, [int(x) for x in np.cumsum(line)]) for (p, _), line in zip(counts, matrix)]
-    lines = spark.createDataFrame(bounds, f"{part} bigint, {line} array<bigint>")
+    lines = spark.createDataFrame(bounds, f"{part} string, {line} array<bigint>")
     local = Window.partitionBy(part).orderBy(F.xxhash64(F.lit(seed), part, row), row)
     dealt = kept.withColumn(at, F.row_number().over(local).cast("bigint")).join(lines, part)
     dealt = dealt.withColumn("shard", F.size(F.filter(line, lambda x: x < F.col(at))).cast("int")).drop(at, line)

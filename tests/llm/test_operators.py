@@ -72,6 +72,13 @@ def test_shards(spark, docs):
     sizes = [sorted(r["slot"] for r in rows if r["shard"] == s) for s in range(4)]
     assert all(x == list(range(len(x))) for x in sizes) and max(map(len, sizes)) - min(map(len, sizes)) <= 1 and len(rows) == docs.count()
     assert sharding.shuffle_to_shards(docs.limit(0), 4).count() == 0
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "50")
+    try:
+        many = spark.range(0, 1000, 1, 3).select(F.lit("same").alias("text"), "id")
+        runs = [sorted((r["id"], r["shard"], r["slot"]) for r in sharding.shuffle_to_shards(many, 4).collect()) for _ in range(2)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert runs[0] == runs[1] and len({x[1:] for x in runs[0]}) == 1000
     rng = np.random.default_rng(1)
     draws = [sharding.hypergeometric(rng, 30, 70, 20) for _ in range(4000)]
     assert np.mean(draws) == pytest.approx(6, abs=0.15) and np.var(draws) == pytest.approx(20 * 0.3 * 0.7 * 80 / 99, rel=0.1)
