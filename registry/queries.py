@@ -332,7 +332,7 @@ def new_questions(spark, folder):
 @query
 def greedy_dedup(spark, folder):
     """First-wins over whole documents: same text, word sets at 0.92, then at 0.90 with source and language."""
-    d = read_table(spark, folder, "documents").select("doc_id", "source", "lang", "text")
+    d = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "source", "lang", "text")
     text = F.col("text")
     with_source = F.concat_ws(" ", "source", "lang", "text")
     tests = [
