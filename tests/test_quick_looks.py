@@ -48,6 +48,18 @@ def test_shared_words_beyond_the_beginning(evaluate):
     assert evaluate(v.is_misaligned, *rows) == evaluate(plain, *rows)
 
 
+def test_bullets_read_a_scrubbed_text_once(spark):
+    """Looks for line breaks and bullets do not scrub the answer again: it was written a dozen times into the plan."""
+    build = t.expand_inline_bullets(t.scrub_ui_refs(F.reverse(F.col("id").cast("string"))))
+    plan = spark.range(1).select(build.alias("v"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("reverse(") == 1, plan
+
+
+def test_pieces_look_at_one_lower_case(spark):
+    plan = spark.range(1).select(t.sub_some(F.col("id").cast("string"), C.POINTER_PHRASE).alias("v"))._jdf.queryExecution().analyzed().toString()
+    assert len(C.PIECES[C.POINTER_PHRASE]) > 1 and plan.count("lower(") == 1, plan
+
+
 @pytest.mark.parametrize("build", [qa.parse_pairs, lambda x: t.scrub_ui_refs(t.strip_meta(t.clean_block(x))), tags.answer_intent, v.has_dangling_step])
 def test_heavy_steps_are_bound_once(spark, build):
     """The text that a rule reads many times, and the pass over its pairs, are computed once."""
