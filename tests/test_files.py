@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +119,24 @@ def test_shared_folder_and_spreading(spark):
     assert spread_small(wide) is wide
 
 
+def test_a_finished_step_leaves_no_shuffle_files(spark):
+    from qaloom.storage import CLEANUP
+
+    def written():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+    before = written()
+    df = spark.range(50_000).selectExpr("id % 1000 AS k", "id AS v").repartition(4, "v").groupBy("k").count()
+    assert len(materialize(df).collect()) == 1000 and len(materialize(df.repartition(3)).collect()) == 1000
+    for _ in range(100):  # files go by a message
+        if written() <= before:
+            break
+        time.sleep(0.1)
+    assert written() <= before
+    assert spark.conf.get(CLEANUP, "false") == "false"
+
+
 def test_arrays_of_a_long_conversation(spark, tmp_path, monkeypatch):
     turns = [(c, t, role, f"{role} {c} {t}") for c, n in ((3, 400), (4, 2), (70, 2)) for t, role in ((t, ("user", "assistant")[t % 2]) for t in range(n))]
     spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
